@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import encodings
-from newsloom.sources.tables import canonical_id, table
+from newsloom.llm import encodings, residue
+from newsloom.sources.tables import canonical_id, sender_address, table
 
 
 def fields(spark: SparkSession, at: str) -> tuple[DataFrame, DataFrame]:
@@ -31,5 +31,26 @@ def p2_restored(spark: SparkSession, at: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored}
+def senders(spark: SparkSession, at: str) -> DataFrame:
+    """The sender of each message; deliveries of one message have the same."""
+    rows = table(spark, at, "message_summary").select(canonical_id("msg_id").alias("msg_id"), sender_address("from_h").alias("source"))
+    return rows.filter("msg_id IS NOT NULL").groupBy("msg_id").agg(F.min("source").alias("source"))
+
+
+def p3_residue(spark: SparkSession, at: str) -> DataFrame:
+    subjects, bodies = fields(spark, at)
+    return residue.residue(subjects.unionByName(bodies).filter("msg_id IS NOT NULL"), senders(spark, at))
+
+
+def p3_found(spark: SparkSession, at: str) -> DataFrame:
+    return p3_residue(spark, at).select("msg_id", "field_name")
+
+
+def p3_clean(spark: SparkSession, at: str) -> DataFrame:
+    """The bodies that remain when fields with residue are excluded."""
+    bad = p3_found(spark, at).filter("field_name = 'body'").select("msg_id")
+    return table(spark, at, "full_message").select(canonical_id("msg_id").alias("msg_id"), F.length("body").alias("n_chars")).join(bad, "msg_id", "left_anti")
+
+
+QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean}
 ORACLE: dict[str, str] = {}
