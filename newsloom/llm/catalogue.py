@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import encodings, residue
+from newsloom.llm import boilerplate, encodings, residue
 from newsloom.sources.tables import canonical_id, sender_address, table
 
 
@@ -52,5 +52,29 @@ def p3_clean(spark: SparkSession, at: str) -> DataFrame:
     return table(spark, at, "full_message").select(canonical_id("msg_id").alias("msg_id"), F.length("body").alias("n_chars")).join(bad, "msg_id", "left_anti")
 
 
-QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean}
-ORACLE: dict[str, str] = {}
+def sourced_bodies(spark: SparkSession, at: str) -> DataFrame:
+    """(msg_id, source, body) of the messages with a body; messages without a summary have no source and are left out."""
+    bodies = table(spark, at, "full_message").select(canonical_id("msg_id").alias("msg_id"), "body").filter(F.length("body") > 0)
+    return bodies.join(senders(spark, at), "msg_id")
+
+
+def p6_found(spark: SparkSession, at: str) -> DataFrame:
+    return boilerplate.found_lines(sourced_bodies(spark, at), "msg_id", "source", "body").select("msg_id", F.col("line_no").cast("int").alias("line_no"))
+
+
+def p6_clean(spark: SparkSession, at: str) -> DataFrame:
+    return boilerplate.without_lines(sourced_bodies(spark, at), "msg_id", "source", "body").select("msg_id", F.sha2("clean", 256).alias("clean_hash"), F.length("clean").alias("n_chars"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean}
+
+_SENDERS = r"""(SELECT lower(regexp_replace(msg_id, '\s+', '', 'g')) AS msg_id,
+    min(regexp_replace(lower(trim(CASE WHEN regexp_extract(from_h, '<([^<>]*)>\s*$', 1) <> '' THEN regexp_extract(from_h, '<([^<>]*)>\s*$', 1) ELSE from_h END)), '\+[^@]*@', '@')) AS source
+    FROM message_summary GROUP BY 1)"""
+_LINES = rf"""bodies AS (SELECT f.msg_id, s.source, f.body FROM full_message f JOIN {_SENDERS} s USING (msg_id) WHERE length(f.body) > 0),
+    sizes AS (SELECT source, count(*) AS docs FROM bodies GROUP BY source),
+    lines AS (SELECT msg_id, source, unnest(string_split(body, chr(10))) AS line, unnest(range(len(string_split(body, chr(10))))) AS line_no FROM bodies),
+    norm AS (SELECT msg_id, source, line_no, lower(regexp_replace(trim(regexp_replace(line, '[ \t\r]+', ' ', 'g')), '[0-9]+', '0', 'g')) AS line FROM lines WHERE regexp_matches(line, '\p{{L}}')),
+    hits AS (SELECT source, line FROM norm JOIN sizes USING (source) GROUP BY source, line, docs HAVING count(DISTINCT msg_id) >= 5 AND count(DISTINCT msg_id) >= 0.2 * docs)"""
+ORACLE: dict[str, str] = {"p6_found": f"WITH {_LINES} SELECT msg_id, CAST(line_no AS INT) AS line_no FROM norm SEMI JOIN hits USING (source, line)"}
+
