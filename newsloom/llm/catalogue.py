@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import boilerplate, encodings, residue
+from newsloom.llm import boilerplate, encodings, linkage, residue
 from newsloom.sources.tables import canonical_id, sender_address, table
 
 
@@ -66,7 +66,17 @@ def p6_clean(spark: SparkSession, at: str) -> DataFrame:
     return boilerplate.without_lines(sourced_bodies(spark, at), "msg_id", "source", "body").select("msg_id", F.sha2("clean", 256).alias("clean_hash"), F.length("clean").alias("n_chars"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean}
+def p1_linked(spark: SparkSession, at: str) -> DataFrame:
+    """The tracker row of each message, with a confidence."""
+    messages = table(spark, at, "message_summary").select(canonical_id("msg_id").alias("msg_id"), "from_h", "to_h", "delivered_to").filter("msg_id IS NOT NULL")
+    return linkage.link(messages, table(spark, at, "sources")).withColumn("confidence", F.round("confidence", 4))
+
+
+def p1_found(spark: SparkSession, at: str) -> DataFrame:
+    return p1_linked(spark, at).select("source_id", "msg_id")
+
+
+QUERIES = {"p1_found": p1_found, "p1_linked": p1_linked, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean}
 
 _SENDERS = r"""(SELECT lower(regexp_replace(msg_id, '\s+', '', 'g')) AS msg_id,
     min(regexp_replace(lower(trim(CASE WHEN regexp_extract(from_h, '<([^<>]*)>\s*$', 1) <> '' THEN regexp_extract(from_h, '<([^<>]*)>\s*$', 1) ELSE from_h END)), '\+[^@]*@', '@')) AS source
