@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.plans.durable import durable
+
 #: A general phrase counts only if its message stands in so many distinct sources.
 WIDELY = 3
 
@@ -119,7 +121,7 @@ def residue(fields: DataFrame, sources: DataFrame, key: str = "msg_id", name: st
 
     sources has the source of each key. Only lines that match a rule are joined with it and grouped.
     """
-    cases = kinds(cue_lines(fields, key, name, text)).select(key, name, "kind", F.xxhash64("mask").alias("message"))
+    cases = durable(kinds(cue_lines(fields, key, name, text)).select(key, name, "kind", F.xxhash64("mask").alias("message")))  # few rows, used three times
     general = cases.filter("kind = 'general'")
     wide = general.join(sources, key).select("message", source).distinct().groupBy("message").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= WIDELY).select("message")
     kept = cases.filter("kind <> 'general'").unionByName(general.join(wide, "message", "left_semi").select(cases.columns))
