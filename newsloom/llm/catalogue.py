@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import boilerplate, encodings, linkage, residue
+from newsloom.llm import boilerplate, encodings, linkage, mixing, packing, readability, residue, tokens
 from newsloom.sources.tables import canonical_id, sender_address, table
 
 
@@ -76,7 +76,44 @@ def p1_found(spark: SparkSession, at: str) -> DataFrame:
     return p1_linked(spark, at).select("source_id", "msg_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_linked": p1_linked, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean}
+def p7_packed(spark: SparkSession, at: str) -> DataFrame:
+    sized = tokens.sized(table(spark, at, "documents"), "doc_id", "text")
+    return packing.pack(sized, table(spark, at, "containers"), "doc_id")
+
+
+def p7_fill(spark: SparkSession, at: str) -> DataFrame:
+    return packing.fill(p7_packed(spark, at), table(spark, at, "containers"))
+
+
+def _mix(spark: SparkSession, at: str) -> tuple[DataFrame, DataFrame]:
+    sized = tokens.sized(table(spark, at, "documents"), "doc_id", "text", ("source", "lang", "segment"))
+    return mixing.mix(sized, table(spark, at, "mix_targets"))
+
+
+def p8_mixed(spark: SparkSession, at: str) -> DataFrame:
+    return _mix(spark, at)[0]
+
+
+def p8_shares(spark: SparkSession, at: str) -> DataFrame:
+    return mixing.report(*_mix(spark, at))
+
+
+def p9_levels(spark: SparkSession, at: str) -> DataFrame:
+    return readability.levels(table(spark, at, "documents"), table(spark, at, "reading_labels")).withColumn("level", F.round("level", 3))
+
+
+def p9_found(spark: SparkSession, at: str) -> DataFrame:
+    graded = readability.levels(table(spark, at, "documents"), table(spark, at, "reading_labels"))
+    return graded.filter(F.col("level") >= readability.DEMANDING).select("doc_id")
+
+
+def p9_profile(spark: SparkSession, at: str) -> DataFrame:
+    """How demanding each source is."""
+    graded = readability.levels(table(spark, at, "documents"), table(spark, at, "reading_labels"))
+    return graded.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.round(F.avg("level"), 3).alias("mean_level"), F.count_if(F.col("level") >= readability.DEMANDING).alias("demanding"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_linked": p1_linked, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_mixed": p8_mixed, "p8_shares": p8_shares, "p9_found": p9_found, "p9_levels": p9_levels, "p9_profile": p9_profile}
 
 _SENDERS = r"""(SELECT lower(regexp_replace(msg_id, '\s+', '', 'g')) AS msg_id,
     min(regexp_replace(lower(trim(CASE WHEN regexp_extract(from_h, '<([^<>]*)>\s*$', 1) <> '' THEN regexp_extract(from_h, '<([^<>]*)>\s*$', 1) ELSE from_h END)), '\+[^@]*@', '@')) AS source
