@@ -59,23 +59,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     of rounds grows with the logarithm of the longest path. Each round is written to the shared folder.
     """
     now = durable(edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    mark = _signature(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _to_smallest(both, larger_only=True)
-        small = _to_smallest(durable(large), larger_only=False)
-        nxt = durable(small)
-        if nxt.count() == now.count() and nxt.exceptAll(now).isEmpty():
+        now = durable(_to_smallest(durable(_to_smallest(both, larger_only=True)), larger_only=False))
+        before, mark = mark, _signature(now)
+        if mark == before:
             break
-        now = nxt
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _signature(edges: DataFrame) -> tuple:
+    """Number and sum of hashes of distinct edges: equal for equal sets."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.hash("u", "v").cast("long"))).first())
+
+
 def _to_smallest(edges: DataFrame, larger_only: bool) -> DataFrame:
     """Each neighbour v of u (and u itself) linked to the smallest of u and its neighbours; of all neighbours or the smaller."""
     if not larger_only:
         edges = edges.filter("v < u")
     low = durable(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n")))
-    total = edges.count()
+    total = low.agg(F.sum("n")).first()[0] or 0
     joined = join_counted(edges, low, "u", "n", total)
     out = joined.filter("v > u") if larger_only else joined.filter("v <> m").unionByName(joined.select("u", F.col("u").alias("v"), "m", "n"))
     return out.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
