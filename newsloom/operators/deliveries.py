@@ -17,21 +17,21 @@ from pyspark.sql import functions as F
 from newsloom.plans.durable import durable, join_counted
 from newsloom.sources.tables import canonical_id
 
-KEY, COUNT, FIRST = "_nl_key", "_nl_rows", "_nl_first"
+KEY, ORDER, ROW, COUNT, FIRST = "_nl_key", "_nl_order", "_nl_row", "_nl_rows", "_nl_first"
 
 
-def _keyed(df: DataFrame, key: str) -> DataFrame:
-    return df.withColumn(KEY, canonical_id(F.col(f"`{key}`")))
+def _keyed(df: DataFrame, key: str, order: str) -> DataFrame:
+    """The identifier, the order and the row as one value, so that no name of the input can clash with ours."""
+    return df.select(canonical_id(F.col(f"`{key}`")).alias(KEY), F.col(f"`{order}`").alias(ORDER), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(ROW))
 
 
 def frequencies(df: DataFrame, key: str = "msg_id", order: str = "delivery_id") -> DataFrame:
     """One row per identifier: its rows and its smallest `order`."""
-    return _keyed(df, key).filter(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count(F.lit(1)).alias(COUNT), F.min(f"`{order}`").alias(FIRST))
+    return _keyed(df, key, order).filter(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count(F.lit(1)).alias(COUNT), F.min(ORDER).alias(FIRST))
 
 
 def _repeated(df: DataFrame, key: str, order: str) -> tuple[DataFrame, int]:
-    freq = frequencies(df, key, order).filter(F.col(COUNT) > 1)
-    kept = durable(freq)
+    kept = durable(frequencies(df, key, order).filter(F.col(COUNT) > 1))
     return kept, int(kept.agg(F.sum(COUNT)).first()[0] or 0)
 
 
@@ -43,25 +43,27 @@ def keep_one(stored: DataFrame, new: DataFrame | None = None, key: str = "msg_id
     """
     df = stored if new is None else stored.unionByName(new, allowMissingColumns=True)
     repeated, total = _repeated(df, key, order)
-    keyed = _keyed(df, key)
-    names = [f"`{c}`" for c in df.columns]
-    singles = keyed.join(repeated.select(KEY), KEY, "left_anti") if total else keyed
-    rank = F.struct(F.col(f"`{order}`").isNull(), F.col(f"`{order}`"), F.xxhash64(*names))
-    ranked = join_counted(keyed, repeated, KEY, COUNT, total).groupBy(KEY).agg(
-        F.min_by(F.struct(*names), rank).alias("_nl_row"), *(F.min_by(f"`{c}`", F.when(F.trim(F.col(f"`{c}`").cast("string")) != "", rank)).alias(f"_nl_fill_{i}") for i, c in enumerate(fill))
-    )
-    filled = {c: F.col(f"_nl_fill_{i}") for i, c in enumerate(fill)}
-    best = [F.when(F.trim(own.cast("string")) != "", own).otherwise(filled[c]).alias(c) if c in filled else own.alias(c) for c in df.columns for own in (F.col(f"_nl_row.`{c}`"),)]
-    united = singles.select(KEY, *names).unionByName(ranked.select(KEY, *best))
-    return united.withColumn(key, F.coalesce(KEY, F.col(f"`{key}`"))).select(*names)
+    keyed = _keyed(df, key, order)
+    field = lambda c: F.col(ROW).getField(c)
+    rank = F.struct(F.col(ORDER).isNull(), ORDER, F.xxhash64(ROW))
+    filled = [F.min_by(field(c), F.when(F.trim(field(c).cast("string")) != "", rank)).alias(f"_nl_fill_{i}") for i, c in enumerate(fill)]
+    ranked = join_counted(keyed, repeated, KEY, COUNT, total).groupBy(KEY).agg(F.min_by(ROW, rank).alias(ROW), *filled)
+    singles = (keyed.join(repeated.select(KEY), KEY, "left_anti") if total else keyed).select(KEY, ROW, *(field(c).alias(f"_nl_fill_{i}") for i, c in enumerate(fill)))
+    out = []
+    for c in df.columns:
+        own = field(c)
+        if c in fill:
+            own = F.when(F.trim(own.cast("string")) != "", own).otherwise(F.col(f"_nl_fill_{fill.index(c)}"))
+        out.append((F.coalesce(KEY, own) if c == key else own).alias(c))
+    return singles.unionByName(ranked).select(*out)
 
 
 def surplus(df: DataFrame, key: str = "msg_id", order: str = "delivery_id") -> DataFrame:
     """Every row but the kept one of each repeated identifier, as (key, order)."""
     repeated, total = _repeated(df, key, order)
-    rows = join_counted(_keyed(df, key).select(KEY, F.col(f"`{order}`").alias("_nl_order")), repeated, KEY, COUNT, total)
-    later = rows.filter(F.col(FIRST).isNotNull() & (F.col("_nl_order").isNull() | (F.col("_nl_order") > F.col(FIRST)))).select(KEY, "_nl_order")
+    rows = join_counted(_keyed(df, key, order).select(KEY, ORDER), repeated, KEY, COUNT, total)
+    later = rows.filter(F.col(FIRST).isNotNull() & (F.col(ORDER).isNull() | (F.col(ORDER) > F.col(FIRST)))).select(KEY, ORDER)
     # all but one of the rows that tie as first (a group without any `order` ties as a whole)
-    ties = rows.filter(F.col("_nl_order").eqNullSafe(F.col(FIRST))).groupBy(KEY, "_nl_order").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    tied = ties.withColumn("_", F.explode(F.expr("sequence(2, n)"))).select(KEY, "_nl_order")
-    return later.unionByName(tied).select(F.col(KEY).alias(key), F.col("_nl_order").alias(order))
+    ties = rows.filter(F.col(ORDER).eqNullSafe(F.col(FIRST))).groupBy(KEY, ORDER).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    tied = ties.withColumn("_", F.explode(F.expr("sequence(2, n)"))).select(KEY, ORDER)
+    return later.unionByName(tied).select(F.col(KEY).alias(key), F.col(ORDER).alias(order))
