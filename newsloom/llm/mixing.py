@@ -95,9 +95,9 @@ def mix(sized: DataFrame, targets: DataFrame, total: int | None = None, seed: in
     own = own.withColumn("at", F.expr("at & 18014398509481983"))
     per = own.groupBy("source", "range").agg(F.sum("tokens").alias("n"))
     before = W.Window.partitionBy("source").orderBy("range").rowsBetween(W.Window.unboundedPreceding, -1)
-    starts = per.select("source", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # at most RANGES rows a target
+    starts = per.select("source", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = W.Window.partitionBy("source", "range").orderBy("at", "doc_id").rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow)
-    summed = own.join(F.broadcast(starts), ["source", "range"]).withColumn("upto", F.col("start") + F.sum("tokens").over(inside))
+    summed = own.join(starts, ["source", "range"]).withColumn("upto", F.col("start") + F.sum("tokens").over(inside))
     taken = summed.select("doc_id", "source", "tokens", (F.col("epochs") + (F.col("upto") <= F.col("rest")).cast("long")).cast("int").alias("times")).filter("times > 0")
     return taken, leaves
 
