@@ -191,8 +191,8 @@ def restore(text: str | None) -> tuple[str | None, str]:
     if not text or text.isascii():
         return text, "clean"
     out, state = text, "clean"
-    for _ in range(MAX_PASSES):
-        own, words = spans(out), western_cyrillic(out)
+    for n in range(MAX_PASSES):
+        own, words = spans(out), western_cyrillic(out) if n == 0 else []  # what has just been restored is no garbled Cyrillic
         if not own and not words:
             break
         values = automaton()[1]
