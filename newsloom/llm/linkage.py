@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from email.header import decode_header, make_header
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -61,7 +62,10 @@ HOST_NOTE = re.compile(r"\(([\w-]+(?:\.[\w-]+)+)\)")
 LETTERS = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "æ": "ae", "œ": "oe", "ß": "ss", "ı": "i"})
 
 
+@lru_cache(maxsize=100_000)
 def fold(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     plain = unicodedata.normalize("NFKD", text.lower().translate(LETTERS))
     return "".join(c for c in plain if not unicodedata.combining(c))
 
@@ -83,6 +87,7 @@ def _bags(parts: list[list[str]]) -> set[tuple[str, str]]:
     return out
 
 
+@lru_cache(maxsize=100_000)
 def _host_cores(host: str) -> set[str]:
     labels = host.split(".")[:-1] or [host]
     out = set()
@@ -108,10 +113,11 @@ def describe_sender(header: str | None) -> tuple[str | None, str, list[str], lis
     m = re.search(r"<([^<>]*)>\s*$", header)
     address = (m[1] if m else header).strip().lower()
     shown = re.sub(r"\s*<[^<>]*>\s*$", "", header).strip().strip("\"'").strip() if m else ""
-    try:
-        shown = str(make_header(decode_header(shown)))
-    except Exception:  # a broken header word stays as it is
-        pass
+    if "=?" in shown:
+        try:
+            shown = str(make_header(decode_header(shown)))
+        except Exception:  # a broken header word stays as it is
+            pass
     local, _, host = address.partition("@")
     if not host:
         return None, "", [], []
@@ -151,17 +157,23 @@ def describe_row(name: str | None, publisher: str | None, url: str | None) -> tu
     return current, sorted(attrs)
 
 
-ATTRS = T.ArrayType(T.StructType([T.StructField("a", T.StringType()), T.StructField("kind", T.StringType())]))
-SENDER = T.StructType([T.StructField("address", T.StringType()), T.StructField("label", T.StringType()), T.StructField("core", T.ArrayType(T.StringType())), T.StructField("attrs", ATTRS)])
-ROW = T.StructType([T.StructField("core", T.ArrayType(T.StringType())), T.StructField("attrs", ATTRS)])
+#: Attributes leave Python as plain texts, `kind|attribute`, since nested values are slow to convert.
+SENDER = T.StructType([T.StructField("address", T.StringType()), T.StructField("label", T.StringType()), T.StructField("core", T.ArrayType(T.StringType())), T.StructField("attrs", T.ArrayType(T.StringType()))])
+ROW = T.StructType([T.StructField("core", T.ArrayType(T.StringType())), T.StructField("attrs", T.ArrayType(T.StringType()))])
 
 
-def _senders(headers: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([describe_sender(h) for h in headers], columns=["address", "label", "core", "attrs"])
+def _texts(attrs: list[tuple[str, str]]) -> list[str]:
+    return [f"{kind}|{a}" for a, kind in attrs]
+
+
+def _unpacked(df: DataFrame) -> DataFrame:
+    """df with attrs as (kind, a) again."""
+    return df.withColumn("attrs", F.transform("attrs", lambda x: F.struct(F.substring_index(x, "|", 1).alias("kind"), F.regexp_replace(x, r"^[a-z]+\|", "").alias("a"))))
 
 
 def _rows(name: pd.Series, publisher: pd.Series, url: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([describe_row(*x) for x in zip(name, publisher, url, strict=True)], columns=["core", "attrs"])
+    described = (describe_row(*x) for x in zip(name, publisher, url, strict=True))
+    return pd.DataFrame([(core, _texts(attrs)) for core, attrs in described], columns=["core", "attrs"])
 
 
 def _broadcast(written: DataFrame) -> DataFrame:
@@ -174,10 +186,26 @@ def box_of(*headers: Column) -> Column:
     return F.coalesce(*(F.when(F.contains(x, F.lit("+")), x) for x in found), *(F.nullif(x, F.lit("")) for x in found), F.lit(""))
 
 
-def profiles_of(headers: DataFrame) -> DataFrame:
+def known_attributes(tracker: DataFrame) -> set[str] | None:
+    """The tracker's attributes, if they are few enough to send to all tasks: an attribute that it lacks can't be shared."""
+    names = tracker.select(F.explode("attrs.a").alias("a")).distinct()
+    return {r.a for r in names.collect()} if names.count() <= BROADCAST_ROWS else None
+
+
+def profiles_of(headers: DataFrame, known: set[str] | None = None) -> DataFrame:
     """(from_h, box, n) with address, label, core and attributes; headers has from_h, box and n, each pair once."""
-    names = headers.select("from_h").distinct().withColumn("s", F.pandas_udf(_senders, SENDER)("from_h")).select("from_h", "s.*")
-    return headers.join(names.filter("address IS NOT NULL"), "from_h")
+    shared = headers.sparkSession.sparkContext.broadcast(known)
+
+    def senders(batch: pd.Series) -> pd.DataFrame:
+        keep = shared.value
+        rows = (describe_sender(h) for h in batch)
+        rows = [(a, label, core, _texts(attrs if keep is None else [x for x in attrs if x[0] in keep])) for a, label, core, attrs in rows]
+        return pd.DataFrame(rows, columns=["address", "label", "core", "attrs"])
+
+    # the headers are small but slow to describe: they are spread over all cores again after the shuffle has gathered them
+    spread = headers.select("from_h").distinct().repartition(headers.sparkSession.sparkContext.defaultParallelism)
+    names = spread.withColumn("s", F.pandas_udf(senders, SENDER)("from_h")).select("from_h", "s.*")
+    return headers.join(_unpacked(names.filter("address IS NOT NULL")), "from_h")
 
 
 def candidate_edges(profiles: DataFrame, tracker: DataFrame) -> DataFrame:
@@ -247,10 +275,10 @@ def link(messages: DataFrame, tracker: DataFrame, key: str = "msg_id") -> DataFr
     """
     slim = messages.select(key, F.coalesce("from_h", F.lit("")).alias("from_h"), box_of(F.col("to_h"), F.col("delivered_to")).alias("box"))
     headers = slim.groupBy("from_h", "box").agg(F.count(F.lit(1)).alias("n"))
-    described = durable(profiles_of(headers).withColumn("pid", F.xxhash64("address", "label", "box")))
-    profiles = described.groupBy("pid").agg(F.first("address").alias("address"), F.first("box").alias("box"), F.first("core").alias("core"), F.first("attrs").alias("attrs"), F.sum("n").alias("n"))
     rows = tracker.withColumn("r", F.pandas_udf(_rows, ROW)("newsletter_name", "publisher", "signup_url"))
-    rows = durable(rows.select(F.col("source_id").alias("sid"), F.lower(F.trim("subscribe_email")).alias("box"), "r.*"))
+    rows = durable(_unpacked(rows.select(F.col("source_id").alias("sid"), F.lower(F.trim("subscribe_email")).alias("box"), "r.*")))
+    described = durable(profiles_of(headers, known_attributes(rows)).withColumn("pid", F.xxhash64("address", "label", "box")))
+    profiles = described.groupBy("pid").agg(F.first("address").alias("address"), F.first("box").alias("box"), F.first("core").alias("core"), F.first("attrs").alias("attrs"), F.sum("n").alias("n"))
     linked = link_profiles(durable(profiles), rows)
     by_header = durable(described.select("pid", "from_h", "box", "n").join(linked, "pid").select(F.xxhash64("from_h", "box").alias("header"), "n", "sid", "confidence"))
     total = by_header.agg(F.sum("n")).first()[0] or 0
