@@ -98,7 +98,7 @@ def content_hash(c: Column) -> Column:
 def summary_line(c: Column, size: int = 140) -> Column:
     """One line: blanks collapsed, cut with an ellipsis above the size."""
     flat = F.regexp_replace(F.trim(c), r"\s+", " ")
-    return F.when(F.length(flat) > size, F.concat(F.rtrim(F.substring(flat, 1, size - 1)), F.lit("…"))).otherwise(flat)
+    return F.when(F.length(flat) > size, F.concat(F.rtrim(F.substring(flat, 1, size)), F.lit("…"))).otherwise(flat)
 
 
 def strip_tags(c: Column) -> Column:

@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import plus_tag
 
-# Subjects of mail that is no issue, and of checks whether a reader is still there.
-CONFIRM = r"(?i)(confirm|verify|verification|activate your|welcome to|thanks? (?:you )?for (?:signing|subscribing)|subscription confirmed|almost there|one more step|complete your|please click|opt[- ]in|you'?re in)"
+# Phrases in subjects of mail that is no issue.
+CONFIRM_PHRASES = ("confirm", "verify", "welcome", "complete your sign", "one-time", "added successfully", "now signed up", "now subscribed", "thanks for signing", "a few things", "verification code", "on the list")
+CONFIRM = f"(?i)({'|'.join(CONFIRM_PHRASES)})"
+# Words of pages behind a test for robots, and of texts behind a paywall.
+ROBOT_TEST = ("captcha", "recaptcha", "hcaptcha", "cf-turnstile", "cloudflare", "bot check", "verify you")
+PAYWALL = ("paywall", "subscribe to read", "become a member", "paid subscriber", "upgrade to")
+# Subjects of checks whether a reader is still there.
 ENGAGEMENT = r"(?i)(we are going on a break|still want|still there|we miss you|are you still)"
 KINDS = (("engagement_check", ENGAGEMENT), ("verify", r"(?i)(verification code|verify)"), ("confirm", r"(?i)confirm"), ("welcome", r"(?i)(^welcome|thanks? (?:you )?for (?:signing|subscribing))"), ("podcast_notice", r"(?i)^(?:Fwd: )?\[podcast\]"), ("promo", r"(?i)\b\d+% off\b"))
 
@@ -33,6 +38,21 @@ def labels_by_rules(messages: DataFrame, rules: DataFrame, key: str, sender: str
     return hits.groupBy(key).agg(F.array_sort(F.collect_set("label")).alias("labels"))
 
 
+def signal(page: Column, words: tuple[str, ...]) -> Column:
+    """Whether one of the words stands in the page, in any case; null for null."""
+    low = F.lower(page)
+    out = F.contains(low, F.lit(words[0]))
+    for w in words[1:]:
+        out = out | F.contains(low, F.lit(w))
+    return out
+
+
+def paywall_cut(text: Column) -> Column:
+    """Where the first paywall phrase begins (from 1); null without one."""
+    low = F.lower(text)
+    return F.array_min(F.filter(F.array(*(F.locate(w, low) for w in PAYWALL)), lambda x: x > 0))
+
+
 def kind(subject: Column) -> Column:
     """The kind that the first matching rule gives a decoded subject; `other` for a blank one, `issue` else."""
     out = F.when(F.trim(F.coalesce(subject, F.lit(""))) == "", "other")

@@ -336,10 +336,12 @@ def version_sort(spark, at):
     return v.select("name", F.row_number().over(W.Window.orderBy(F.desc("v"), "name")).cast("long").alias("place"))
 
 
-@query(rf"""SELECT n, CASE WHEN length(p) > 140 THEN rtrim(substring(p, 1, 139)) || '…' ELSE p END AS line FROM (SELECT n, regexp_replace(trim(prompt, ' '), '\s+', ' ', 'g') AS p FROM {X.PROMPTS.sql()}) WHERE p <> '' AND NOT starts_with(p, '<') AND NOT contains(p, '[Request interrupted')""")
+@query(rf"""SELECT n, CASE WHEN length(p) > 140 THEN rtrim(substring(p, 1, 140)) || '…' ELSE p END AS line FROM (SELECT n, regexp_replace(trim(prompt, ' '), '\s+', ' ', 'g') AS p FROM {X.PROMPTS.sql()}) WHERE p <> '' AND NOT starts_with(p, '<') AND NOT contains(lower(p), 'system-reminder') AND NOT starts_with(p, '[Request interrupted') AND NOT starts_with(lower(p), 'caveat:')""")
 def prompt_lines(spark, at):
     p = X.PROMPTS.spark(spark).select("n", text.summary_line(F.col("prompt")).alias("line"))
-    return p.filter((F.col("line") != "") & ~F.startswith("line", F.lit("<")) & ~F.contains("line", F.lit("[Request interrupted")))
+    low = F.lower("line")
+    noise = F.startswith("line", F.lit("<")) | F.contains(low, F.lit("system-reminder")) | F.startswith("line", F.lit("[Request interrupted")) | F.startswith(low, F.lit("caveat:"))
+    return p.filter((F.col("line") != "") & ~noise)
 
 
 @query(f"SELECT edition, day, epoch_us(CAST(day || ' 07:30:00 America/New_York' AS TIMESTAMPTZ)) AS start_us, dayofweek(CAST(day AS DATE)) = 5 AS friday FROM {X.EDITIONS.sql()}")

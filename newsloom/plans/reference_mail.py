@@ -251,3 +251,14 @@ def sponsor_lines(spark, at):
 def word_counts(spark, at):
     m = table(spark, at, "full_message").select("msg_id", F.coalesce("body", F.lit("")).alias("b"))
     return m.select("msg_id", text.content_hash(F.col("b")).alias("text_hash"), text.word_count(F.col("b")).alias("words")).withColumn("minutes", F.round(text.reading_minutes(F.col("words")), 6))
+
+
+def _any_sql(c: str, words: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"contains(lower({c}), '{w}')" for w in words) + ")"
+
+
+@query(f"""SELECT msg_id, {_any_sql('body', routing.ROBOT_TEST)} AS robot_test, list_min(list_filter([{', '.join(f"strpos(lower(body), '{w}')" for w in routing.PAYWALL)}], lambda x: x > 0)) AS paywall_cut_at
+    FROM full_message WHERE {_any_sql('body', routing.ROBOT_TEST + routing.PAYWALL)}""")
+def page_signals(spark, at):
+    m = table(spark, at, "full_message").filter(routing.signal(F.col("body"), routing.ROBOT_TEST + routing.PAYWALL))
+    return m.select("msg_id", routing.signal(F.col("body"), routing.ROBOT_TEST).alias("robot_test"), routing.paywall_cut(F.col("body")).cast("long").alias("paywall_cut_at"))
