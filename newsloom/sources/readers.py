@@ -22,7 +22,7 @@ TRACKER = (
 
 
 def eml_folder(spark: SparkSession, path: str) -> DataFrame:
-    """(msg_id, raw, size) of every .eml file below a folder, byte for byte."""
+    """(msg_id, raw, length) of every .eml file below a folder, byte for byte; files without a byte hold no message."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.eml").option("recursiveFileLookup", "true").load(path)
     return files.select(F.regexp_extract("path", r"([^/]+)\.eml$", 1).alias("msg_id"), F.col("content").alias("raw"), "length")
 

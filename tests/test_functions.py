@@ -68,7 +68,7 @@ MAIL = b'From: "Ann" <a@b.example>\r\nSubject: =?UTF-8?B?w4k=?=\r\nMIME-Version:
 
 def test_mail_folder(spark, tmp_path):
     for i in range(5):
-        (tmp_path / f"m{i}.eml").write_bytes(MAIL if i else b"")
+        (tmp_path / f"m{i}.eml").write_bytes(MAIL if i else b"x")
     files = readers.eml_folder(spark, str(tmp_path))
     assert files.count() == 5 and files.filter("msg_id = 'm1'").first().raw == MAIL
     box = readers.mailbox(spark, str(tmp_path), page=2)
