@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from newsloom.plans.durable import durable
 
 #: Seed of the epochs' order; hash ranges of a source.
 SEED, RANGES = 20240229, 1024

@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from newsloom.plans.durable import durable
 
 #: Buckets at most for each capacity; parts in which a bucket is ranked.
 BUCKETS, PARTS = 256, 256
+#: Kinds of containers at most; every item goes into one of each.
+MOST_KINDS = 1000
 
 
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
@@ -118,7 +119,12 @@ def plan(bounds: np.ndarray, counts: np.ndarray, capacity: int) -> list[Segment]
 
 def pieces(items: DataFrame, containers: DataFrame, key: str, tokens: str = "tokens", kind: str = "container_kind", capacity: str = "capacity_tokens") -> DataFrame:
     """(kind, capacity, key, piece_no, tokens): each item once per kind, cut only above the capacity."""
-    both = items.filter(F.col(tokens) > 0).select(key, F.col(tokens).alias("_n")).join(F.broadcast(containers.filter(F.col(capacity) > 0).select(kind, F.col(capacity).alias("capacity"))))
+    kinds = containers.filter(F.col(capacity) > 0).select(kind, F.col(capacity).alias("capacity"))
+    rows = kinds.distinct().limit(MOST_KINDS + 1).collect()
+    if len(rows) > MOST_KINDS:
+        raise ValueError(f"more than {MOST_KINDS} kinds of containers")
+    each = F.array(*(F.struct(F.lit(r[kind]).alias(kind), F.lit(r["capacity"]).alias("capacity")) for r in rows)) if rows else F.array().cast(f"array<{kinds.schema.simpleString()}>")
+    both = items.filter(F.col(tokens) > 0).select(key, F.col(tokens).alias("_n"), F.explode(each).alias("_k")).select(key, "_n", "_k.*")
     both = both.withColumn("piece_no", F.explode(F.sequence(F.lit(0), F.expr("CAST((_n - 1) DIV capacity AS INT)"))))
     return both.select(kind, "capacity", key, "piece_no", F.least(F.col("capacity").cast("long"), F.col("_n") - F.col("piece_no") * F.col("capacity")).alias("tokens"))
 
