@@ -31,8 +31,8 @@ def roster(items: DataFrame, source: str) -> DataFrame:
 
 def strip(clusters: DataFrame, places: DataFrame, source: str) -> DataFrame:
     """clusters with `strip`: one sign for each place of the roster, filled where the place covers the story."""
-    order = places.agg(F.array_sort(F.collect_list(F.struct("roster_pos", source))).alias("r"))
-    named = clusters.join(F.broadcast(order)).withColumn("strip", F.array_join(F.transform("r", lambda x: F.when(F.array_contains("sources", x[source]), "■").otherwise("□")), ""))
+    order = places.agg(F.array_sort(F.collect_list(F.struct("roster_pos", source))).alias("r")).scalar()
+    named = clusters.withColumn("r", order).withColumn("strip", F.array_join(F.transform("r", lambda x: F.when(F.array_contains("sources", x[source]), "■").otherwise("□")), ""))
     return named.withColumn("roster_n", F.size("r").cast("long")).drop("r")
 
 

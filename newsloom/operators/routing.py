@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import plus_tag
 
+#: Sender rules in a block.
+RULE_BLOCK = 2000
 # Phrases in subjects of mail that is no issue.
 CONFIRM_PHRASES = ("confirm", "verify", "welcome", "complete your sign", "one-time", "added successfully", "now signed up", "now subscribed", "thanks for signing", "a few things", "verification code", "on the list")
 CONFIRM = f"(?i)({'|'.join(CONFIRM_PHRASES)})"
@@ -25,16 +27,22 @@ def segment_tags(segments: DataFrame) -> DataFrame:
 
 def by_tag(messages: DataFrame, segments: DataFrame, to: Column, fallback: Column | None = None) -> DataFrame:
     """messages with segment: by the tag of the address they were sent to, else by the fallback, else `unmatched`."""
-    tags = F.broadcast(segment_tags(segments).groupBy("tag").agg(F.min("segment").alias("_seg")))
+    tags = segment_tags(segments).groupBy("tag").agg(F.min("segment").alias("_seg"))
     routed = messages.withColumn("tag", plus_tag(to)).join(tags, "tag", "left")
     return routed.withColumn("segment", F.coalesce("_seg", fallback if fallback is not None else F.lit(None).cast("string"), F.lit("unmatched"))).drop("_seg", "tag")
 
 
 def labels_by_rules(messages: DataFrame, rules: DataFrame, key: str, sender: str, to: str) -> DataFrame:
     """(key, labels): the set of labels of all rules that match. Address rules are an equality; sender rules test whether the
-    sender holds the value. Rules are a small dimension, so each message meets all of them without a shuffle."""
-    tests = F.when(F.col("field") == "to", F.lower(F.col(to)) == F.lower("value")).otherwise(F.contains(F.lower(F.col(sender)), F.lower("value")))
-    hits = messages.select(key, sender, to).join(F.broadcast(rules), tests)
+    sender holds the value. Sender rules go over the messages in blocks of RULE_BLOCK, each of which is broadcast."""
+    exact = rules.filter("field = 'to'").select(F.lower("value").alias("_v"), "label")
+    hits = messages.select(key, F.lower(F.col(to)).alias("_v")).join(exact, "_v").select(key, "label")
+    holds = rules.filter("field <> 'to' AND value <> ''").select(F.lower("value").alias("_v"), "label")
+    slim = messages.select(key, F.lower(F.col(sender)).alias("_s"))
+    blocks = -(-holds.count() // RULE_BLOCK)
+    for i in range(blocks):
+        block = holds.filter(F.pmod(F.xxhash64("_v", "label"), F.lit(blocks)) == i)
+        hits = hits.unionByName(slim.join(F.broadcast(block), F.contains("_s", F.col("_v"))).select(key, "label"))
     return hits.groupBy(key).agg(F.array_sort(F.collect_set("label")).alias("labels"))
 
 

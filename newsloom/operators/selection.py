@@ -35,6 +35,16 @@ def top_per(rows: DataFrame, by: str, order: list[Column], n: int = 1) -> DataFr
     return rows.withColumn("rank", F.row_number().over(W.Window.partitionBy(by).orderBy(*order))).filter(F.col("rank") <= n)
 
 
+def numbered(rows: DataFrame, by: str, day: str, key: str, number: str) -> DataFrame:
+    """rows with their running number in each group, by day and key. Days are counted first and their counts summed up, so a
+    task ranks one day of a group, never a whole group."""
+    per = rows.groupBy(by, day).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.Window.partitionBy(by).orderBy(day).rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0))
+    starts = per.select(by, day, before.alias("_start"))
+    inside = F.row_number().over(W.Window.partitionBy(by, day).orderBy(key))
+    return rows.withColumn("_r", inside).join(starts, [by, day]).withColumn(number, F.col("_start") + F.col("_r")).drop("_r", "_start")
+
+
 def slots(ranked: DataFrame, template: list[tuple[str, int]], order: list[Column]) -> DataFrame:
     """The best rows dealt to the slots in turn: quotas in order of priority, a short slot filled from the next rows."""
     total = sum(n for _, n in template)

@@ -41,9 +41,9 @@ def _members(spark, at):
 
 @query(f"""SELECT cluster_id, coverage_n, size, first_id, array_to_string(sources, ',') AS sources, (SELECT count(*) FROM {_ROSTER}) AS roster_n FROM {_CLUSTERS} WHERE size > 1""")
 def coverage_leaderboard(spark, at):
-    places = coverage.roster(table(spark, at, "documents"), "source").agg(F.count(F.lit(1)).alias("roster_n"))
+    roster_n = table(spark, at, "documents").agg(F.count_distinct("source")).scalar()
     c = coverage.coverage(_members(spark, at), "doc_id", "source").filter("size > 1")
-    return c.join(F.broadcast(places)).select("cluster_id", "coverage_n", "size", "first_id", F.array_join("sources", ",").alias("sources"), "roster_n")
+    return c.select("cluster_id", "coverage_n", "size", "first_id", F.array_join("sources", ",").alias("sources"), roster_n.alias("roster_n"))
 
 
 @query(f"""SELECT cluster_id, coverage_n, roster_n, array_to_string(list_transform(places, lambda p: CASE WHEN list_contains(sources, p) THEN '■' ELSE '□' END), '') AS strip
@@ -75,10 +75,9 @@ def _scored(spark, at):
     docs = table(spark, at, "documents")
     m = _members(spark, at)
     labels = table(spark, at, "reading_labels").groupBy("doc_id").agg(F.avg("reading_level").alias("level"))
-    today = docs.agg(F.max("issue_date").alias("today"))
-    aged = m.join(docs.select("doc_id", "issue_date"), "doc_id").join(labels, "doc_id", "left").join(F.broadcast(today)).groupBy("cluster_id").agg(F.avg("level").alias("level"), F.min(F.datediff("today", "issue_date")).alias("age"))
-    places = coverage.roster(docs, "source").agg(F.count(F.lit(1)).alias("roster_n"))
-    c = coverage.coverage(m, "doc_id", "source").join(aged, "cluster_id").join(F.broadcast(places))
+    aged = m.join(docs.select("doc_id", "issue_date"), "doc_id").join(labels, "doc_id", "left").groupBy("cluster_id").agg(F.avg("level").alias("level"), F.max("issue_date").alias("newest"))
+    today, roster_n = docs.agg(F.max("issue_date")).scalar(), docs.agg(F.count_distinct("source")).scalar()
+    c = coverage.coverage(m, "doc_id", "source").join(aged, "cluster_id").withColumn("roster_n", roster_n).withColumn("age", F.datediff(today, "newest"))
     age = F.col("age")
     s = selection.score(F.when(age > 365, 0.1).otherwise(0.0), coverage_norm=F.col("coverage_n") / F.col("roster_n"), relevance=selection.relevance(F.col("level") * 2.0), freshness=selection.freshness(age, 365))
     return c.select("cluster_id", "first_id", "coverage_n", F.round(s, 6).alias("score"))
@@ -125,13 +124,14 @@ def calendar_merge(spark, at):
 @query("SELECT source, segment, row_number() OVER (PARTITION BY source ORDER BY issue_date, doc_id) AS issue_no, doc_id FROM documents WHERE source IS NOT NULL AND issue_date IS NOT NULL AND segment = '3-Legal'")
 def issue_numbers(spark, at):
     d = table(spark, at, "documents").filter("source IS NOT NULL AND issue_date IS NOT NULL AND segment = '3-Legal'")
-    return d.select("source", "segment", F.row_number().over(W.Window.partitionBy("source").orderBy("issue_date", "doc_id")).cast("long").alias("issue_no"), "doc_id")
+    return selection.numbered(d.select("source", "segment", "issue_date", "doc_id"), "source", "issue_date", "doc_id", "issue_no").drop("issue_date")
 
 
 @query("SELECT doc_id, date_diff('day', issue_date, today) AS age, date_diff('day', issue_date, today) > 365 AS stale FROM documents, (SELECT max(issue_date) AS today FROM documents) WHERE issue_date IS NOT NULL")
 def freshness(spark, at):
     d = table(spark, at, "documents").filter("issue_date IS NOT NULL").select("doc_id", "issue_date")
-    return d.join(F.broadcast(d.agg(F.max("issue_date").alias("today")))).select("doc_id", F.datediff("today", "issue_date").cast("long").alias("age")).withColumn("stale", F.col("age") > 365)
+    today = d.agg(F.max("issue_date")).scalar()
+    return d.select("doc_id", F.datediff(today, "issue_date").cast("long").alias("age")).withColumn("stale", F.col("age") > 365)
 
 
 @query("SELECT segment, '{\"segment\":\"' || segment || '\",\"stories\":[' || string_agg('{\"doc_id\":' || doc_id || ',\"n_chars\":' || n_chars || '}', ',' ORDER BY doc_id) || ']}' AS issue FROM documents WHERE segment IS NOT NULL AND content_shape = 'teaser' GROUP BY segment")
@@ -375,8 +375,7 @@ def arrival_asof(spark, at):
 @query("""SELECT count(*) AS n, event_type FROM events, (SELECT max(ts) AS now FROM events) WHERE ts > now - INTERVAL 1 DAY OR (ts > now - INTERVAL 7 DAY AND event_type = 'signup' AND ts <= now - INTERVAL 1 DAY) GROUP BY event_type""")
 def weeklies_window(spark, at):
     e = table(spark, at, "events")
-    now = e.agg(F.max("ts").alias("now"))
-    aged = e.join(F.broadcast(now))
+    aged = e.withColumn("now", e.agg(F.max("ts")).scalar())
     last_run = aged.filter("ts > now - INTERVAL 1 DAY")
     weeklies = aged.filter("ts > now - INTERVAL 7 DAY AND event_type = 'signup' AND ts <= now - INTERVAL 1 DAY")
     return last_run.unionByName(weeklies).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))

@@ -216,9 +216,9 @@ def inter_arrival(spark, at):
     SELECT sender, last_day, date_diff('day', last_day, today) AS silent_days FROM l, z WHERE n >= 5 AND date_diff('day', last_day, today) > 30""")
 def silence_alerts(spark, at):
     m = table(spark, at, "message_summary").select(sender_address("from_h").alias("sender"), F.to_date("ingested_at").alias("d"))
-    today = m.agg(F.max("d").alias("today"))
+    today = m.agg(F.max("d")).scalar()
     last = m.groupBy("sender").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("last_day")).filter("n >= 5")
-    return last.join(F.broadcast(today)).select("sender", "last_day", F.datediff("today", "last_day").cast("long").alias("silent_days")).filter("silent_days > 30")
+    return last.select("sender", "last_day", F.datediff(today, "last_day").cast("long").alias("silent_days")).filter("silent_days > 30")
 
 
 @query(rf"""SELECT count(*) AS messages, count(*) FILTER (WHERE contains(f.body, m.snippet) AND length(m.snippet) > 0) AS verified FROM full_message f JOIN {FIRST} m ON m.k = lower(f.msg_id)""")
