@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -110,3 +112,45 @@ def markdown(html: Column) -> Column:
 def body_or_html(body: Column, html: Column) -> Column:
     """The text body, or text from HTML where the body is null or blank."""
     return F.coalesce(F.when(F.trim(body) != "", body), plain_text(html))
+
+
+# ---- HTML from Markdown
+
+
+def _inline(text: str) -> str:
+    out = escape(text, quote=False)
+    out = re.sub(r"\[([^\]]+)\]\((https?://[^)\s]+)\)", r'<a href="\2">\1</a>', out)
+    out = re.sub(r"\*\*([^*]+)\*\*", r"<strong>\1</strong>", out)
+    return re.sub(r"(?<!\*)\*([^*\n]+)\*(?!\*)", r"<em>\1</em>", re.sub(r"`([^`]+)`", r"<code>\1</code>", out))
+
+
+def html_of(markdown: str | None) -> str | None:
+    """Headings, paragraphs, lists and the inline forms; text is escaped. Null gives null."""
+    if markdown is None:
+        return None
+    out: list[str] = []
+    inside = ""
+    for line in [*markdown.split("\n"), ""]:
+        item = re.match(r"\s*(?:([-*])|\d+\.)\s+(.*)", line)
+        kind = "" if item is None else "ul" if item[1] else "ol"
+        if inside and kind != inside:
+            out.append(f"</{inside}>")
+            inside = ""
+        if item:
+            if not inside:
+                out.append(f"<{kind}>")
+                inside = kind
+            out.append(f"<li>{_inline(item[2])}</li>")
+        elif head := re.match(r"(#{1,6})\s+(.*)", line):
+            out.append(f"<h{len(head[1])}>{_inline(head[2])}</h{len(head[1])}>")
+        elif line.strip():
+            out.append(f"<p>{_inline(line.strip())}</p>")
+    return "\n".join(out)
+
+
+def _html(texts: pd.Series) -> pd.Series:
+    return texts.map(html_of)
+
+
+def from_markdown(text: Column) -> Column:
+    return F.pandas_udf(_html, T.StringType())(text)

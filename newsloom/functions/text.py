@@ -198,3 +198,40 @@ def edit_similarity(a: Column, b: Column) -> Column:
 def strip_cells(n: Column, positions: Column) -> Column:
     """A coverage strip: one sign for each of n places, filled where positions says so."""
     return F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.when(F.array_contains(positions, i), "■").otherwise("□")), "")
+
+
+# ---- lines of structured items
+
+
+def deal(c: Column) -> Column:
+    """`Acme, a Berlin-based maker of X, raised $12M in Series A funding led by Y` as (company, place, amount, round, lead); empty where not stated."""
+    part = lambda p: F.trim(F.regexp_extract(c, p, 1))
+    return F.struct(
+        part(r"^\W*([^,:]+?)(?:,| raised| raises)").alias("company"), part(r", an? ([^,]+?)-based").alias("place"), part(r"(?i)rais(?:ed|es) ([$€£]\d[\d.,]* ?(?:[KMBT]|million|billion)?)").alias("amount"),
+        part(r"(?i)\b((?:pre-)?seed|series [a-z])\b").alias("round"), part(r"(?i)led by ([^.,;]+)").alias("lead"),
+    )
+
+
+def repo(c: Column) -> Column:
+    """`owner/name ★ 1,234` as (name, stars)."""
+    return F.struct(F.regexp_extract(c, r"([\w.-]+/[\w.-]+)", 1).alias("name"), F.regexp_replace(F.regexp_extract(c, r"(?:★|⭐|stars:?) ?(\d[\d,]*)", 1), ",", "").try_cast("long").alias("stars"))
+
+
+def calendar_items(c: Column) -> Column:
+    """Items of `Tue: a · b · c`, without the day."""
+    return F.filter(F.transform(F.split(F.regexp_replace(c, r"^[^:]{1,20}: *", ""), "·"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def contents(c: Column) -> Column:
+    """The list after `In this issue:` (or a like marker) up to the next blank line; empty if there is none."""
+    return F.trim(F.regexp_extract(c, r"(?is)(?:in this issue|in today.s issue|what's inside|table of contents):?[ \t]*\n(.*?)(?:\n[ \t]*\n|$)", 1))
+
+
+def holds_any(c: Column, words: list[str]) -> Column:
+    """Whether one of the words stands in the text as a whole word, in any case."""
+    return c.rlike(r"(?i)(?:^|[^\p{L}])(?:" + "|".join(words) + r")(?:[^\p{L}]|$)")
+
+
+def cells_text(paragraphs: Column) -> Column:
+    """Rows of cells as text: cells joined by tabs, rows by line breaks."""
+    return F.array_join(F.transform(paragraphs, lambda row: F.array_join(row, "\t")), "\n")

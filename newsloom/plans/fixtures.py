@@ -92,3 +92,9 @@ QUOTES = Fixture("story string, quote string", [("s1", "rose 12%"), ("s2", "we n
 VERSIONS = Fixture("name string, version string", [("a", "1.2.10"), ("b", "1.10"), ("c", "1.2.9"), ("d", "2"), ("e", "1.2")])
 PROMPTS = Fixture("n bigint, prompt string", [(1, "  fix   the\nparser "), (2, "<system> note"), (3, "[Request interrupted by user]"), (4, "x" * 200), (5, ""), (6, None)])
 EDITIONS = Fixture("edition string, day string", [("tech", "2025-03-07"), ("tech", "2025-03-10"), ("finance", "2025-11-03"), ("finance", "2025-07-04")])
+LINES = Fixture(
+    "line_id bigint, line string",
+    [
+        (1, "Acme, a Berlin-based maker of chips, raised $12M in Series A funding led by Zed Capital."), (2, "owner/name.js ★ 1,234 – fast"), (3, "Tue: CPI · Fed minutes · "), (4, "Intro\nIn this issue:\n- one\n- two\n\nBody"), (5, "guaranteed gains, a revolutionary tool"), (6, ""), (7, None),
+    ],
+)

@@ -421,3 +421,32 @@ def stream_session(spark, at):
 def stream_dedup(spark, at):
     e = windows.deduplicated(_stream(spark, at), "ts", ["user_id", "event_type"], "60 days")
     return windows.drained(e.select("user_id", "event_type")).agg(F.count(F.lit(1)).alias("kept"), F.count_distinct("user_id").alias("users"))
+
+
+BANNED = ["revolutionary", "game-changing", "guaranteed", "unbelievable"]
+
+
+@query(rf"""SELECT line_id, trim(regexp_extract(line, '^\W*([^,:]+?)(?:,| raised| raises)', 1)) AS company, trim(regexp_extract(line, ', an? ([^,]+?)-based', 1)) AS place, trim(regexp_extract(line, '(?i)rais(?:ed|es) ([$€£]\d[\d.,]* ?(?:[KMBT]|million|billion)?)', 1)) AS amount,
+    trim(regexp_extract(line, '(?i)\b((?:pre-)?seed|series [a-z])\b', 1)) AS round, trim(regexp_extract(line, '(?i)led by ([^.,;]+)', 1)) AS lead, TRY_CAST(replace(regexp_extract(line, '(?:★|⭐|stars:?) ?(\d[\d,]*)', 1), ',', '') AS BIGINT) AS stars,
+    array_to_string(list_filter(list_transform(string_split(regexp_replace(line, '^[^:]{{1,20}}: *', ''), '·'), lambda x: trim(x)), lambda x: x <> ''), ' | ') AS items, trim(regexp_extract(line, '(?is)(?:in this issue|in today.s issue|what''s inside|table of contents):?[ \t]*\n(.*?)(?:\n[ \t]*\n|$)', 1)) AS contents,
+    regexp_matches(line, '(?i)(?:^|[^\p{{L}}])(?:{'|'.join(BANNED)})(?:[^\p{{L}}]|$)') AS banned FROM {X.LINES.sql()}""")
+def structured_lines(spark, at):
+    c = F.col("line")
+    x = X.LINES.spark(spark).select("line_id", text.deal(c).alias("d"), text.repo(c).getField("stars").alias("stars"), F.array_join(text.calendar_items(c), " | ").alias("items"), text.contents(c).alias("contents"), text.holds_any(c, BANNED).alias("banned"))
+    return x.select("line_id", "d.*", "stars", "items", "contents", "banned")
+
+
+_NAME = r"(?:^|[^\p{L}])([A-Z][a-z]{3,}(?:x|rin|vik|lo|ket|dal|mont|ter|nix|pha|sha|wick))(?:[^\p{L}]|$)"
+
+
+@query(rf"""SELECT entity, count(*) AS documents, CAST(sum(n) AS BIGINT) AS mentions FROM (SELECT doc_id, entity, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_NAME}', 1)) AS entity FROM documents) GROUP BY doc_id, entity) GROUP BY entity""")
+def entity_mentions(spark, at):
+    d = table(spark, at, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_NAME), F.lit(1))).alias("entity"))
+    per = d.groupBy("doc_id", "entity").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("entity").agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("mentions"))
+
+
+@query("""SELECT doc_id, words, round(words / 230, 6) AS minutes, bytes, bytes < 102 * 1024 AS fits FROM (SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS BIGINT) AS words, CAST(octet_length(encode(text)) AS BIGINT) AS bytes FROM documents WHERE text IS NOT NULL)""")
+def copy_limits(spark, at):
+    d = table(spark, at, "documents").filter("text IS NOT NULL").select("doc_id", text.word_count(F.col("text")).alias("words"), F.octet_length("text").cast("long").alias("bytes"))
+    return d.select("doc_id", "words", F.round(text.reading_minutes(F.col("words")), 6).alias("minutes"), "bytes", (F.col("bytes") < 102 * 1024).alias("fits"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from newsloom.functions import dates, text
-from newsloom.operators import checks, routing, timelines
+from newsloom.operators import checks, ingest, routing, timelines
 from newsloom.plans import fixtures as X
 from newsloom.sources.tables import canonical_id, sender_address, table
 
@@ -164,11 +164,11 @@ def alias_copies(spark, at):
     return grouped.filter("copies > 1").select("kept", "copies")
 
 
-@query(f"""WITH b AS (SELECT max(batch_id) AS last FROM message_summary) SELECT DISTINCT {K} AS msg_id FROM message_summary, b WHERE batch_id = last AND {K} NOT IN (SELECT {K} FROM message_summary, b WHERE batch_id < last)""")
+@query(f"""WITH b AS (SELECT max(batch_id) AS last FROM message_summary) SELECT DISTINCT {K} AS msg_id FROM message_summary, b WHERE batch_id > last - 5 AND {K} NOT IN (SELECT {K} FROM message_summary, b WHERE batch_id <= last - 5)""")
 def ingest_new(spark, at):
     df = table(spark, at, "message_summary").select(canonical_id("msg_id").alias("msg_id"), "batch_id")
     last = df.agg(F.max("batch_id")).first()[0]
-    return df.filter(F.col("batch_id") == last).select("msg_id").distinct().join(df.filter(F.col("batch_id") < last).select("msg_id"), "msg_id", "left_anti")
+    return df.filter(F.col("batch_id") > last - 5).select("msg_id").distinct().join(df.filter(F.col("batch_id") <= last - 5).select("msg_id"), "msg_id", "left_anti")
 
 
 @query(f"""SELECT k AS msg_id, count(DISTINCT h) AS versions FROM (SELECT {K} AS k, sha256(concat_ws(chr(1), coalesce(subject, ''), coalesce(date_h, ''), coalesce(thread_id, ''))) AS h FROM message_summary) GROUP BY k HAVING count(DISTINCT h) > 1""")
@@ -262,3 +262,32 @@ def _any_sql(c: str, words: tuple[str, ...]) -> str:
 def page_signals(spark, at):
     m = table(spark, at, "full_message").filter(routing.signal(F.col("body"), routing.ROBOT_TEST + routing.PAYWALL))
     return m.select("msg_id", routing.signal(F.col("body"), routing.ROBOT_TEST).alias("robot_test"), routing.paywall_cut(F.col("body")).cast("long").alias("paywall_cut_at"))
+
+
+_PLATFORMS = ("quillpost.example", "letterloft.example")
+
+
+@query(f"""WITH w AS (SELECT max(run_at) AS since FROM sync_log WHERE status = 'ok' AND batch_id <= (SELECT max(batch_id) - 5 FROM message_summary)), m AS (SELECT {K} AS msg_id, {SENDER} AS sender, ingested_at, batch_id FROM message_summary), z AS (SELECT max(batch_id) AS last FROM m),
+    fresh AS (SELECT * FROM m, w, z WHERE ingested_at > since - INTERVAL 2 DAY AND batch_id > last - 5 AND regexp_extract(sender, '@(.*)$', 1) IN {_PLATFORMS})
+    SELECT msg_id, arg_min(sender, ingested_at) AS sender, epoch_us(min(ingested_at)) AS first_us FROM fresh WHERE msg_id NOT IN (SELECT msg_id FROM m, z WHERE batch_id <= last - 5) GROUP BY msg_id""")
+def incremental_ingest(spark, at):
+    m = table(spark, at, "message_summary").select(canonical_id("msg_id").alias("msg_id"), sender_address("from_h").alias("sender"), F.col("ingested_at").cast("timestamp").alias("ingested_at"), "batch_id")
+    last = m.agg(F.max("batch_id")).first()[0] or 0
+    roster = m.select("sender").distinct().filter(text.domain_of(F.col("sender")).isin(*_PLATFORMS))
+    runs = table(spark, at, "sync_log").filter(F.col("batch_id") <= last - 5).withColumn("run_at", F.col("run_at").cast("timestamp"))
+    new = ingest.incremental(m.filter(F.col("batch_id") > last - 5), roster, m.filter(F.col("batch_id") <= last - 5), "msg_id", "sender", "ingested_at", ingest.watermark(runs))
+    return new.select("msg_id", "sender", F.unix_micros("ingested_at").alias("first_us"))
+
+
+@query(rf"""SELECT regexp_extract(s, '@(.*)$', 1) AS host, count(*) AS messages, count(DISTINCT s) AS senders FROM (SELECT {SENDER} AS s FROM {FIRST}) GROUP BY 1""")
+def sender_hosts(spark, at):
+    m = messages(spark, at, "from_h").select(sender_address("from_h").alias("s"))
+    return m.groupBy(F.regexp_extract("s", "@(.*)$", 1).alias("host")).agg(F.count(F.lit(1)).alias("messages"), F.count_distinct("s").alias("senders"))
+
+
+@query(rf"""SELECT name, count(*) AS items, count(DISTINCT s) AS sources, count(DISTINCT s) = 1 AS single_source, max(pct) AS top_pct FROM (SELECT {SENDER} AS s, regexp_extract(subject, '(\w+) soars (\d+)%', 1) AS name, CAST(regexp_extract(subject, '(\w+) soars (\d+)%', 2) AS BIGINT) AS pct FROM {FIRST} WHERE regexp_matches(subject, '(\w+) soars (\d+)%')) GROUP BY name""")
+def hype_flags(spark, at):
+    m = messages(spark, at, "from_h", "subject").filter(F.col("subject").rlike(r"(\w+) soars (\d+)%"))
+    part = lambda i: F.regexp_extract("subject", r"(\w+) soars (\d+)%", i)
+    x = m.select(sender_address("from_h").alias("s"), part(1).alias("name"), part(2).cast("long").alias("pct"))
+    return x.groupBy("name").agg(F.count(F.lit(1)).alias("items"), F.count_distinct("s").alias("sources"), F.max("pct").alias("top_pct")).withColumn("single_source", F.col("sources") == 1)

@@ -101,3 +101,9 @@ def test_sinks(spark, tmp_path):
     sinks.replace_table(spark.read.parquet(at).filter("id = 1"), at)
     assert spark.read.parquet(at).count() == 1
     assert df.select(sinks.blob_path("segment", "t", "id")).first()[0] == "eml/s1/a-q-b__1.eml"
+
+
+def test_markdown_to_html(spark):
+    assert html.html_of("# T & x\n\n- a **b**\n- [c](https://d.example)\n\n1. z\ntext `q`") == '<h1>T &amp; x</h1>\n<ul>\n<li>a <strong>b</strong></li>\n<li><a href="https://d.example">c</a></li>\n</ul>\n<ol>\n<li>z</li>\n</ol>\n<p>text <code>q</code></p>'
+    assert html.html_of(None) is None and html.html_of("") == "" and one(spark, html.from_markdown(F.lit("*i*"))) == "<p><em>i</em></p>"
+    assert one(spark, text.cells_text(F.array(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("c"))))) == "a\tb\nc"
