@@ -19,6 +19,9 @@ def _sql(v: object) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
+SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT"}
+
+
 @dataclass(frozen=True)
 class Fixture:
     schema: str
@@ -33,7 +36,8 @@ class Fixture:
 
     def sql(self) -> str:
         """A table expression with the same rows."""
-        return f"(SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(_sql, r)) + ')' for r in self.rows)}) AS v({', '.join(self.names)}))"
+        cast = ", ".join(f"CAST({n} AS {SQL_TYPES[t]}) AS {n}" for n, t in (c.split() for c in self.schema.split(", ")))
+        return f"(SELECT {cast} FROM (VALUES {', '.join('(' + ', '.join(map(_sql, r)) + ')' for r in self.rows)}) AS v({', '.join(self.names)}))"
 
 
 RAW_MAIL = Fixture(

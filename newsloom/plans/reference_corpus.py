@@ -325,7 +325,7 @@ def event_props(spark, at):
 
 # ---- stated inputs
 
-@query("SELECT * FROM (VALUES ('v', 1, 1.0, 'Hello there'), ('v', 2, 3603.25, 'Bye'), ('w', 1, 5.0, 'Bye')) AS v(video_id, cue_no, start, text)")
+@query("SELECT video_id, CAST(cue_no AS BIGINT) AS cue_no, CAST(start AS DOUBLE) AS start, text FROM (VALUES ('v', 1, 1.0, 'Hello there'), ('v', 2, 3603.25, 'Bye'), ('w', 1, 5.0, 'Bye')) AS v(video_id, cue_no, start, text)")
 def cue_dedup(spark, at):
     return readers.cues(X.CUES.spark(spark))
 
