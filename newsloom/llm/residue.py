@@ -17,6 +17,8 @@ scanned whole, whatever their length.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +36,10 @@ NAME = f"(?:{'|'.join(FIELD_NAMES)})"
 ID = r"[a-zà-ÿ_][\wà-ÿ.]*(?: [a-zà-ÿ_][\wà-ÿ.]*)?"
 # Placeholder delimiters of common mailing tools and template languages. Where ordinary text uses the same
 # signs, the known field names must stand between them.
+NAMED = (rf"(?<![\w$])\${NAME}\$(?!\w)", rf"(?<!\w)%{NAME}%(?!\w)")
 PLACEHOLDERS = (
     r"\{\{\{?\s*[#/^>&~]?\s*[^{}\n]{1,60}?\s*\}?\}\}", r"\{%-?\s*[a-z]\w*[^%\n]{0,60}-?%\}", r"<%=?\s*[^%\n]{1,60}%>", rf"\$\{{\s*{ID}\s*\}}", rf"#\{{\s*{ID}\s*\}}", rf"\{{\$?{ID}\}}", r"\*\|[^|\n]{1,40}\|\*",
-    rf"%%{ID}%%", rf"%\({ID}\)[sd]", rf"@@{ID}@@", rf"##{ID}##", rf"(?<![\w$])\${NAME}\$(?!\w)", rf"(?<!\w)%{NAME}%(?!\w)", rf"<<\s*{ID}\s*>>", rf"«\s*{NAME}\s*»", rf"(?<!\w)__{ID}__(?!\w)",
+    rf"%%{ID}%%", rf"%\({ID}\)[sd]", rf"@@{ID}@@", rf"##{ID}##", *NAMED, rf"<<\s*{ID}\s*>>", rf"«\s*{NAME}\s*»", rf"(?<!\w)__{ID}__(?!\w)",
     r"\[\[[^\[\]\n]{1,60}\]\]", rf"\[{NAME}\]", r"\[(?:insert|your|placeholder|add|enter) [^\]\n]{1,40}\]", r"\[[^\[\]\n]{0,40}\bTK\]", r"<!-- ?(?:drop|insert|put|place|add|todo|begin|start)\b[^\n]{0,80}-->",
 )
 # Values that failed to render.
@@ -71,14 +74,83 @@ _PLACE = "(?i)" + "|".join(PLACEHOLDERS)
 _FAILED = "(?i)" + "|".join((*FAILED, *FILLER))
 _SURE = "^\\W{0,4}(?:" + "|".join(SURE) + ")"
 _GENERAL = "^\\W{0,4}(?:" + "|".join(GENERAL) + ")"
-#: A cheap first look at a line in lower case: without one of these signs or words, or a name between two like signs, no rule can match.
-CUES = (
-    "{", "<%", "*|", "%%", "%(", "@@", "##", "<<", "«", "__", "[", "<!--", "null", "undefined", " nan", "nan°", "nan%", ": none", "dear none", "tk tk", "tktk", "tbd", "todo:", "todo ", "xx", "placeholder", "template", "introuvable", "for nan",
-    "lorem", "ipsum", "labore", "cillum", "fugiat", "mollit", "veniam", "pariatur", "proident", "aliqua", "tempor ", "nulla ", "deserunt", "exercitation", "consectetur", "adipiscing", "remplacement", " here", "hier steht", "aquí va", "votre texte", "relleno", "blindtext", "max)", "left blank",
-    "insert ", "replace ", "test subject", "test headline", "test mail", "javascript", "scripts", "your browser", "not found", "forbidden", "bad gateway", "unavailable", "server error", "gateway time", "too many requests", "unauthorized", " gone", "requested page", "this page", "cette page", "página", "denied", "permission to", "upstream",
-    "error", "went wrong", "couldn't load", "couldn’t load", "die seite", "expired", "human", "in your region", "in your country", "maintenance", "traceback", "exception in", "sign in to", "erreichbar", "nginx", "reference #", "one more step", "take up to", "request id", "occurred",
-)
-NAMED_CUE = r"[$%][A-Za-z_. ]{2,30}[$%]|^\W{0,4}[Rr][Aa][Yy]\b|^\s*[Nn](?:a[Nn]|one)\s*$"
+# Common words, a poor first look where a rule has another.
+_COMMON = {"text", "copy", "your", "page", "this", "the", "for", "more", "something", "browser", "before", "content", "site", "server", "service"}
+_MOST = 8
+
+
+def _needs(parsed) -> tuple[set[str] | None, set[str] | None]:
+    """(all texts that a parsed rule matches, if they are few, else None; literals of which each match holds one, else None).
+
+    Texts are in lower case with blanks collapsed. Digits end a literal, as masks change them.
+    """
+    runs, whole, seen = {""}, True, []
+
+    def cut(*more: set[str] | None) -> None:
+        nonlocal runs, whole
+        seen.extend(x for x in (runs, *more) if x and all(x))
+        runs, whole = {""}, False
+
+    for op, arg in parsed:
+        few, need, op = None, None, str(op)
+        if op in ("AT", "ASSERT", "ASSERT_NOT"):
+            continue
+        if op == "LITERAL":
+            few = None if chr(arg).isdigit() else {chr(arg).lower()}
+        elif op == "IN":
+            kinds_in = {str(k) for k, _ in arg}
+            few = {chr(c).lower() for _, c in arg} if kinds_in == {"LITERAL"} and not any(chr(c).isdigit() for _, c in arg) else {" "} if [str(c) for _, c in arg] == ["CATEGORY_SPACE"] else None
+        elif op == "SUBPATTERN":
+            few, need = _needs(arg[3])
+        elif op == "BRANCH":
+            each = [_needs(x) for x in arg[1]]
+            few = None if any(f is None for f, _ in each) else set().union(*(f for f, _ in each))
+            need = None if any(n is None for _, n in each) else set().union(*(n for _, n in each))
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, inner = arg
+            one, inside = _needs(inner)
+            if one is not None and (most == 1 or one == {" "}):
+                few = one if least else one | {""}
+            need = inside if least else None
+        if few is None:
+            cut(need)
+        elif len(joined := {r + f for r in runs for f in few}) <= _MOST:
+            runs = joined
+        else:
+            cut()
+            runs = few
+    few = runs if whole else None
+    cut()
+    return few, max(seen, key=lambda x: min(map(len, x)) - len(x) / 4 - 9 * any(y.strip() in _COMMON for y in x), default=None)
+
+
+def cues_of(rules: tuple[str, ...]) -> tuple[str, ...]:
+    """Literals of which every text that one of the rules matches holds one, in lower case with blanks collapsed."""
+    found = set()
+    for rule in rules:
+        need = _needs(re._parser.parse(rule))[1]
+        if need is None:
+            raise ValueError(f"no literal stands in every match of {rule}")
+        found |= need
+    return tuple(sorted(x for x in found if not any(y != x and y in x for y in found)))
+
+
+def _any_of(texts: list[str]) -> str:
+    """A pattern of all texts by common beginnings, so that few branches are tried at each place."""
+    heads: dict[str, list[str]] = {}
+    for t in sorted(set(texts)):
+        heads.setdefault(t[:1], []).append(t[1:])
+    parts = [re.sub(r"([^\w\s])", r"\\\1", c) + (_any_of(rest) if rest != [""] else "") for c, rest in heads.items() if c]
+    return (parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})") if "" not in heads else f"(?:{'|'.join(parts)})?"
+
+
+#: A cheap first look at a line in lower case with its blanks collapsed: without one of these, a name between two like signs or
+#: two words of the Latin filler in succession, no rule can match. Derived from the rules. A line with code quotes always passes.
+CUES = ("`", *cues_of(tuple(x for x in (*PLACEHOLDERS, *FAILED, *FILLER, *SURE, *GENERAL) if x not in NAMED)))
+_NAMED = "(?i)" + "|".join(NAMED)
+_CUE = _any_of(list(CUES))
+_LATIN = _any_of(LATIN.split())
+_LATIN_PAIR = rf"(?:^|\s){_LATIN}\s+{_LATIN}(?:\s|$)"
 
 
 def masked(line: Column) -> Column:
@@ -89,13 +161,16 @@ def masked(line: Column) -> Column:
 
 
 def cue_lines(fields: DataFrame, key: str = "msg_id", name: str = "field_name", text: str = "text") -> DataFrame:
-    """(key, name, line, mask) of the lines that hold a cue; all others are dropped by plain substring tests."""
-    lines = fields.filter(F.length(text) > 0).select(key, name, F.explode(F.split(text, "\n")).alias("line"))
-    low = F.lower("line")
-    cue = F.col("line").rlike(NAMED_CUE)
-    for c in CUES:
-        cue = F.contains(low, F.lit(c)) | cue
-    return lines.filter(cue).withColumn("line", F.regexp_replace("line", CODE_QUOTED, "`")).withColumn("mask", masked(F.col("line")))
+    """(key, name, line, mask) of the lines that hold a cue; all others, which no rule can match, are dropped."""
+    # both forms leave one generator, so that the lower case is not computed again for each test
+    forms = F.transform(F.split(text, "\n"), lambda x: F.struct(x.alias("line"), F.lower(F.regexp_replace(x, r"\s+", " ")).alias("low")))
+    lines = fields.filter(F.length(text) > 0).select(key, name, F.inline(forms))
+    low = F.col("low")
+    # 75 % of the words of filler are Latin, so two of them are neighbours
+    latin = F.regexp_replace(low, "[^a-z ]+", "").rlike(_LATIN_PAIR)
+    cue = low.rlike(_CUE) | latin | ((F.contains(low, F.lit("$")) | F.contains(low, F.lit("%"))) & F.col("line").rlike(_NAMED))
+    shown = F.regexp_replace("line", CODE_QUOTED, "`")
+    return lines.filter(cue).select(key, name, F.inline(F.array(F.struct(shown.alias("line"), masked(shown).alias("mask")))))  # the mask once, too
 
 
 def _latin_share(mask: Column) -> Column:

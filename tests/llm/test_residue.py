@@ -1,6 +1,9 @@
 """Template residue and error pages: cases, decoys, recurrence."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from newsloom.llm import residue as R
 
@@ -45,3 +48,44 @@ def test_whole_texts_and_nulls(spark):
 @pytest.mark.parametrize("line", ["Hello {{name}} and `{{name}}`"])
 def test_code_quotes_hide_only_their_own(spark, line):
     assert found(spark, [line]) == {0}
+
+
+def samples(parsed):
+    """Texts of a parsed rule that take each of its branches at least once."""
+    parts = []
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            parts.append([chr(arg)])
+        elif op == "IN":
+            by = {"LITERAL": lambda x: chr(x), "RANGE": lambda x: chr(x[0]), "CATEGORY": lambda x: {"CATEGORY_SPACE": " ", "CATEGORY_NOT_WORD": "!"}.get(str(x), "a"), "NEGATE": lambda x: "-"}
+            parts.append([by[str(arg[0][0])](arg[0][1])] if str(arg[0][0]) == "NEGATE" else [by[str(k)](x) for k, x in arg])
+        elif op == "SUBPATTERN":
+            parts.append(samples(arg[3]))
+        elif op == "BRANCH":
+            parts.append([t for x in arg[1] for t in samples(x)])
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            parts.append(([""] if arg[0] == 0 else []) + [t * max(1, arg[0]) for t in samples(arg[2])])
+        else:
+            parts.append(["a"] if op in ("ANY", "NOT_LITERAL") else [""])
+    return ["".join([*(p[-1] for p in parts[:i]), t, *(p[-1] for p in parts[i + 1 :])]) for i, p in enumerate(parts) for t in p] or [""]
+
+
+def test_first_look_drops_no_line_that_a_rule_matches(spark):
+    rules = [*R.PLACEHOLDERS, *R.FAILED, *R.FILLER, *R.SURE, *R.GENERAL]
+    each = [[t for t in samples(re._parser.parse(r)) if re.search(r, t, re.IGNORECASE)] for r in rules]
+    assert [r for r, t in zip(rules, each, strict=True) if not t] == []
+    texts = {t for x in each for t in x if "\n" not in t}
+    texts |= {t.upper() for t in texts} | {t.replace(" ", " \t ") for t in texts}
+    words = R.LATIN.split()
+    texts |= {f"{w} {v}, {w}. {w}" for w, v in zip(words, reversed(words), strict=True)} | {f"{w} 12 {v}\tHouses {w}" for w, v in zip(words, words[3:], strict=False)} | {f"in `a` {w} `b` {w} `c` ex" for w in words}
+    lines = spark.createDataFrame([(t, "body", t) for t in sorted(texts)], "msg_id string, field_name string, text string")
+    whole = lines.withColumn("line", F.regexp_replace("text", R.CODE_QUOTED, "`")).withColumn("mask", R.masked(F.col("line")))
+    every = {r.msg_id for r in R.kinds(whole).collect()}
+    assert len(every) > 1000
+    assert sorted(every - {r.msg_id for r in R.cue_lines(lines).collect()}) == []
+
+
+def test_lines_without_a_listed_word(spark):
+    lines = ["Dolor irure enim irure sint velit.", "Hi None,", "Hello None!", "Test email", "Please enable cookies.", "The page could not be found", "The page does not exist.", "Fehler 404 - Seite nicht gefunden", "Script is disabled", "Hola $prénom$, hi", "502 Bad \t Gateway", "NONE"]
+    assert found(spark, lines) == set(range(len(lines)))
