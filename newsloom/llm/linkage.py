@@ -208,6 +208,16 @@ def profiles_of(headers: DataFrame, known: set[str] | None = None) -> DataFrame:
     return headers.join(_unpacked(names.filter("address IS NOT NULL")), "from_h")
 
 
+def merged(described: DataFrame) -> DataFrame:
+    """One row per pid with the attributes of all its headers: with and without a publisher, a person or another order of words.
+
+    Address, box and core are the same in all rows of a pid.
+    """
+    one = described.groupBy("pid").agg(F.first("address").alias("address"), F.first("box").alias("box"), F.first("core").alias("core"), F.sum("n").alias("n"))
+    attrs = described.select("pid", F.explode("attrs").alias("x")).distinct().groupBy("pid").agg(F.sort_array(F.collect_list("x")).alias("attrs"))
+    return one.join(attrs, "pid", "left").withColumn("attrs", F.coalesce("attrs", F.array().cast(attrs.schema["attrs"].dataType)))
+
+
 def candidate_edges(profiles: DataFrame, tracker: DataFrame) -> DataFrame:
     """(pid, sid, own): edges of the pruned candidate graph with their own similarity."""
     ours = profiles.select("pid", F.explode("attrs").alias("x")).select("pid", F.col("x.a").alias("a"), F.col("x.kind").alias("kind"))
@@ -278,8 +288,7 @@ def link(messages: DataFrame, tracker: DataFrame, key: str = "msg_id") -> DataFr
     rows = tracker.withColumn("r", F.pandas_udf(_rows, ROW)("newsletter_name", "publisher", "signup_url"))
     rows = durable(_unpacked(rows.select(F.col("source_id").alias("sid"), F.lower(F.trim("subscribe_email")).alias("box"), "r.*")))
     described = durable(profiles_of(headers, known_attributes(rows)).withColumn("pid", F.xxhash64("address", "label", "box")))
-    profiles = described.groupBy("pid").agg(F.first("address").alias("address"), F.first("box").alias("box"), F.first("core").alias("core"), F.first("attrs").alias("attrs"), F.sum("n").alias("n"))
-    linked = link_profiles(durable(profiles), rows)
+    linked = link_profiles(durable(merged(described)), rows)
     by_header = durable(described.select("pid", "from_h", "box", "n").join(linked, "pid").select(F.xxhash64("from_h", "box").alias("header"), "n", "sid", "confidence"))
     total = by_header.agg(F.sum("n")).first()[0] or 0
     found = join_counted(slim.select(key, F.xxhash64("from_h", "box").alias("header")), by_header, "header", "n", total)

@@ -39,6 +39,16 @@ def test_links(spark):
     assert got == truth
 
 
+def test_all_header_forms_of_a_profile_count(spark):
+    tracker = spark.createDataFrame([(1, "Amber Abacus", "Calix Press", None, None)], TRACKER)
+    who = [f"Ambr Abacus{end} <em{i}@hop{i}.example>" for i in range(24) for end in ("", " | Calix Press", " | Tordoter News Co.")]
+    links = []
+    for order in (who, who[::-1]):
+        mail = spark.createDataFrame([(w, w, "box+biz@in.example", None, "clash") for w in order], MAIL)
+        links.append({(r.msg_id, r.source_id, round(r.confidence, 9)) for r in K.link(mail, tracker).collect()})
+    assert links[0] == links[1] and {m for m, _, _ in links[0]} == set(who)
+
+
 def test_empty_sides(spark):
     tracker, mail, _ = world()
     t, m = spark.createDataFrame(tracker, TRACKER), spark.createDataFrame(mail, MAIL)
