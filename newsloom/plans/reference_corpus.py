@@ -127,6 +127,13 @@ def issue_numbers(spark, at):
     return selection.numbered(d.select("source", "segment", "issue_date", "doc_id"), "source", "issue_date", "doc_id", "issue_no").drop("issue_date")
 
 
+@query("SELECT source, segment, row_number() OVER (PARTITION BY source, segment ORDER BY issue_date, doc_id) AS issue_no, doc_id FROM documents WHERE source IS NOT NULL AND issue_date IS NOT NULL")
+def edition_issue_numbers(spark, at):
+    """The whole of issue_numbers, whose SQL keeps one segment: every edition, that is source and segment; no segment is one, too."""
+    d = table(spark, at, "documents").filter("source IS NOT NULL AND issue_date IS NOT NULL").select(F.struct("source", "segment").alias("edition"), "issue_date", "doc_id")
+    return selection.numbered(d, "edition", "issue_date", "doc_id", "issue_no").select("edition.source", "edition.segment", "issue_no", "doc_id")
+
+
 @query("SELECT doc_id, date_diff('day', issue_date, today) AS age, date_diff('day', issue_date, today) > 365 AS stale FROM documents, (SELECT max(issue_date) AS today FROM documents) WHERE issue_date IS NOT NULL")
 def freshness(spark, at):
     d = table(spark, at, "documents").filter("issue_date IS NOT NULL").select("doc_id", "issue_date")
@@ -141,6 +148,13 @@ def issue_json(spark, at):
     return issue.select("segment", F.to_json(F.struct("segment", "stories")).alias("issue"))
 
 
+@query("SELECT segment, '{\"segment\":\"' || segment || '\",\"stories\":[' || string_agg('{\"doc_id\":' || doc_id || ',\"n_chars\":' || n_chars || '}', ',' ORDER BY doc_id) || ']}' AS issue FROM documents WHERE segment IS NOT NULL GROUP BY segment")
+def full_issue_json(spark, at):
+    """The whole of issue_json, whose SQL keeps the teasers: documents of every shape."""
+    d = table(spark, at, "documents").filter("segment IS NOT NULL").groupBy("segment").agg(F.array_sort(F.collect_list(F.struct("doc_id", "n_chars"))).alias("stories"))
+    return d.select("segment", F.to_json(F.struct("segment", "stories")).alias("issue"))
+
+
 @query("SELECT source, count(*) AS labelled, round(avg(reading_level), 6) AS mean_level, count(*) FILTER (WHERE reading_level >= 4) AS demanding FROM documents JOIN reading_labels USING (doc_id) GROUP BY source")
 def source_quality(spark, at):
     d = table(spark, at, "documents").select("doc_id", "source").join(table(spark, at, "reading_labels"), "doc_id")

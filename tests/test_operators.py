@@ -131,3 +131,12 @@ def test_streams_equal_batches(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 100
     seen = df.groupBy("k").agg(F.max("ts").alias("last_ts"))
     assert windows.silences(seen, F.to_date(F.lit("2025-03-01")), 30).count() == 2
+
+
+def test_every_edition_is_numbered(spark, tmp_path):
+    from newsloom.plans import reference_corpus as Q
+
+    rows = [(1, "a", "3-Legal", "2025-01-02", 5, "teaser"), (2, "a", "3-Legal", "2025-01-01", 6, "article"), (3, "a", "1-Tech", "2025-01-03", 7, "article"), (4, "a", None, "2025-01-03", 8, "article"), (5, "a", None, "2025-01-03", 9, "teaser"), (6, None, "1-Tech", "2025-01-01", 1, "article")]
+    spark.createDataFrame(rows, "doc_id bigint, source string, segment string, d string, n_chars bigint, content_shape string").selectExpr("*", "CAST(d AS date) AS issue_date").write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted((r.doc_id, r.issue_no) for r in Q.edition_issue_numbers(spark, str(tmp_path)).collect()) == [(1, 2), (2, 1), (3, 1), (4, 1), (5, 2)]
+    assert {r.segment: r.issue.count("doc_id") for r in Q.full_issue_json(spark, str(tmp_path)).collect()} == {"3-Legal": 2, "1-Tech": 2}
