@@ -282,6 +282,14 @@ def entity_links(spark, at):
     return pairs.star_edges(d, "doc_id", "entity")
 
 
+@query(r"""WITH e AS (SELECT DISTINCT doc_id, w AS entity FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\p{L}+')) AS w FROM documents) WHERE regexp_full_match(w, '[A-Z][a-z]{4,}'))
+    SELECT a, doc_id AS b, entity FROM (SELECT doc_id, entity, min(doc_id) OVER (PARTITION BY entity) AS a FROM e) WHERE doc_id > a""")
+def all_entity_links(spark, at):
+    """The whole of entity_links, whose SQL takes the first entity of the first line: each entity of the whole text, once a document."""
+    found = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<!\p{L})([A-Z][a-z]{4,})(?!\p{L})"), F.lit(1)))
+    return pairs.star_edges(durable(table(spark, at, "documents").select("doc_id", F.explode(found).alias("entity"))), "doc_id", "entity")
+
+
 @query("""SELECT q.vec_id AS query_id, r.vec_id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])), 4) AS cosine FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 100 = 0 AND list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) >= 0.3""")
 def cosine_neighbours(spark, at):
     """The stated query set is every vector whose id is divisible by 100, against all vectors."""

@@ -140,3 +140,11 @@ def test_every_edition_is_numbered(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, source string, segment string, d string, n_chars bigint, content_shape string").selectExpr("*", "CAST(d AS date) AS issue_date").write.parquet(str(tmp_path / "documents.parquet"))
     assert sorted((r.doc_id, r.issue_no) for r in Q.edition_issue_numbers(spark, str(tmp_path)).collect()) == [(1, 2), (2, 1), (3, 1), (4, 1), (5, 2)]
     assert {r.segment: r.issue.count("doc_id") for r in Q.full_issue_json(spark, str(tmp_path)).collect()} == {"3-Legal": 2, "1-Tech": 2}
+
+
+def test_later_entities_and_those_of_the_body_link(spark, tmp_path):
+    from newsloom.plans import reference_corpus as Q
+
+    rows = [(1, "Amber meets Copper\nand then Ledger, xLedger"), (2, "Granite buys Copper"), (3, "Nothing\nLedger and Ledger"), (4, None), (5, "xLedger Ledgeré")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(tuple(r) for r in Q.all_entity_links(spark, str(tmp_path)).select("a", "b", "entity").collect()) == [(1, 2, "Copper"), (1, 3, "Ledger")]
