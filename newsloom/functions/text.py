@@ -147,6 +147,36 @@ def subject_topics(c: Column) -> Column:
     return F.when(F.contains(rest, F.lit(";")), F.filter(F.transform(F.split(rest, ";"), lambda x: F.trim(x)), lambda x: x != "")).otherwise(F.array().cast("array<string>"))
 
 
+_EMOJI = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}\x{FE0F}\x{200D}]+"
+
+
+def listed_topics(c: Column) -> Column:
+    """Topics of all list subjects: `a; b`, three or more between commas, `N: ` or `Plus! ` before a list, an emoji after each."""
+    rest = F.regexp_replace(c, r"^(?:Fwd: )?(?:Plus!|(?:[^:;,]* )?\d+:) *", "")
+    by = F.when(F.contains(rest, F.lit(";")), F.split(rest, ";")).when(rest.rlike(r",.*,") | ((rest != c) & F.contains(rest, F.lit(","))), F.split(rest, r",(?!\d{3}\b)"))
+    by = by.when(rest.rlike(rf"{_EMOJI}[^,;]*{_EMOJI}[^,;]*{_EMOJI}"), F.split(rest, _EMOJI))
+    clean = F.transform(by, lambda x: F.trim(F.regexp_replace(x, rf"^\s*and |{_EMOJI}", "")))
+    return F.coalesce(F.filter(clean, lambda x: x != ""), F.array().cast("array<string>"))
+
+
+# Verbs of a move up and down.
+_UP = "soars?|soared|jumps?|jumped|surges?|surged|rises?|rose|gains?|gained|climbs?|climbed|rallies|rallied|adds|added|leaps?|up"
+_DOWN = "falls?|fell|drops?|dropped|slides?|slid|sinks?|sank|plunges?|plunged|tumbles?|tumbled|slips?|slipped|loses|lost|sheds?|crashes|crashed|down"
+_MOVER = rf"(\p{{Lu}}(?!ƒ)[\p{{L}}\p{{N}}.&’'_-]+(?: [\p{{Lu}}\d][\p{{L}}\p{{N}}.&’'_-]*)*|[\p{{L}}\p{{N}}_]+)(?: (?:is |are )?({_UP}|{_DOWN})(?: by)? +|[ :(]+(?=[+−–▲▼-]))([+−–▲▼-]?) ?(\d[\d,]*(?:\.\d+)?) ?%\)?(?: (?:on|after|as|amid) ([^,;.|\n]+))?"
+
+
+def movers(c: Column) -> Column:
+    """Each move of a line as (name, pct, direction, reason): by verb or by sign; pct is negative for a move down."""
+
+    def one(x: Column) -> Column:
+        part = lambda i: F.regexp_extract(x, _MOVER, i)
+        down = part(2).rlike(f"^(?:{_DOWN})$") | part(3).isin("−", "–", "-", "▼")
+        pct = F.replace(part(4), F.lit(","), F.lit("")).cast("double")
+        return F.struct(part(1).alias("name"), F.when(down, -pct).otherwise(pct).alias("pct"), F.when(down, "down").otherwise("up").alias("direction"), F.nullif(F.trim(part(5)), F.lit("")).alias("reason"))
+
+    return F.transform(F.regexp_extract_all(c, F.lit(_MOVER), F.lit(0)), one)
+
+
 def signpost(c: Column) -> Column:
     """The take after `Why it matters:` or `The bottom line:`; empty if there is none."""
     return F.trim(F.regexp_extract(c, r"(?i)(?:why it matters|the bottom line): *([^\n]+)", 1))

@@ -291,3 +291,30 @@ def hype_flags(spark, at):
     part = lambda i: F.regexp_extract("subject", r"(\w+) soars (\d+)%", i)
     x = m.select(sender_address("from_h").alias("s"), part(1).alias("name"), part(2).cast("long").alias("pct"))
     return x.groupBy("name").agg(F.count(F.lit(1)).alias("items"), F.count_distinct("s").alias("sources"), F.max("pct").alias("top_pct")).withColumn("single_source", F.col("sources") == 1)
+
+
+# ---- the whole of queries whose SQL keeps one form
+
+
+def _all(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+@_all
+def all_subject_topics(spark, at):
+    m = messages(spark, at, "subject")
+    return m.select(F.col("k").alias("msg_id"), F.posexplode(text.listed_topics(F.col("subject"))).alias("topic_no", "topic"))
+
+
+@_all
+def all_mover_rows(spark, at):
+    m = messages(spark, at, "subject").filter(F.contains("subject", F.lit("%")))
+    return m.select(F.col("k").alias("msg_id"), F.posexplode(text.movers(F.col("subject"))).alias("mover_no", "m")).select("msg_id", "mover_no", "m.*")
+
+
+@_all
+def all_hype_flags(spark, at):
+    m = messages(spark, at, "from_h", "subject").filter(F.contains("subject", F.lit("%"))).select(sender_address("from_h").alias("s"), F.explode(text.movers(F.col("subject"))).alias("m")).select("s", "m.*")
+    x = m.groupBy("name").agg(F.count(F.lit(1)).alias("items"), F.count_distinct("s").alias("sources"), F.max("pct").alias("top_pct"), F.min("pct").alias("low_pct"))
+    return x.withColumn("single_source", F.col("sources") == 1)

@@ -107,3 +107,15 @@ def test_markdown_to_html(spark):
     assert html.html_of("# T & x\n\n- a **b**\n- [c](https://d.example)\n\n1. z\ntext `q`") == '<h1>T &amp; x</h1>\n<ul>\n<li>a <strong>b</strong></li>\n<li><a href="https://d.example">c</a></li>\n</ul>\n<ol>\n<li>z</li>\n</ol>\n<p>text <code>q</code></p>'
     assert html.html_of(None) is None and html.html_of("") == "" and one(spark, html.from_markdown(F.lit("*i*"))) == "<p><em>i</em></p>"
     assert one(spark, text.cells_text(F.array(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("c"))))) == "a\tb\nc"
+
+
+def test_movers_and_topics_of_every_form(spark):
+    from newsloom.functions import text as t
+
+    line = "Calix soars 12%, Amber Corp falls 3.5% after weak sales; S&P 500 −0.74% | HPE +7% | Oil ▼ 1.5%; Dow (-2%)"
+    rows = spark.createDataFrame([(line,), ("rates at 5% and 10-20%",)], "s string").select(t.movers(F.col("s")).alias("m")).collect()
+    assert [tuple(x) for x in rows[0].m] == [("Calix", 12.0, "up", None), ("Amber Corp", -3.5, "down", "weak sales"), ("S&P 500", -0.74, "down", None), ("HPE", 7.0, "up", None), ("Oil", -1.5, "down", None), ("Dow", -2.0, "down", None)]
+    assert rows[1].m == []
+    subjects = ["Plus! a; b", "Import AI 474: x y; z; and w", "a, b, c", "Phone 📱, rocket 🚀, lab 🧪", "Phone 📱 rocket 🚀 lab 🧪", "Hello, you", "$1,000 for a"]
+    topics = [r.t for r in spark.createDataFrame([(x,) for x in subjects], "s string").select(t.listed_topics(F.col("s")).alias("t")).collect()]
+    assert topics == [["a", "b"], ["x y", "z", "w"], ["a", "b", "c"], ["Phone", "rocket", "lab"], ["Phone", "rocket", "lab"], [], []]
