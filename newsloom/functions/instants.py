@@ -45,6 +45,9 @@ MONTHS = {
 WEEKDAYS = {
     "mon": 0, "monday": 0, "tue": 1, "tues": 1, "tuesday": 1, "wed": 2, "wednesday": 2, "thu": 3, "thur": 3, "thurs": 3, "thursday": 3,
     "fri": 4, "friday": 4, "sat": 5, "saturday": 5, "sun": 6, "sunday": 6,
+    "mo": 0, "montag": 0, "di": 1, "dienstag": 1, "mi": 2, "mittwoch": 2, "do": 3, "donnerstag": 3, "fr": 4, "freitag": 4, "sa": 5, "samstag": 5, "sonnabend": 5, "so": 6, "sonntag": 6,
+    "lun": 0, "lundi": 0, "mar": 1, "mardi": 1, "mer": 2, "mercredi": 2, "jeu": 3, "jeudi": 3, "ven": 4, "vendredi": 4, "sam": 5, "samedi": 5, "dim": 6, "dimanche": 6,
+    "lunes": 0, "martes": 1, "mié": 2, "mie": 2, "miércoles": 2, "miercoles": 2, "jue": 3, "jueves": 3, "vie": 4, "viernes": 4, "sáb": 5, "sab": 5, "sábado": 5, "sabado": 5, "dom": 6, "domingo": 6,
 }
 # Zone abbreviations as hours from UTC, and abbreviations that name a zone.
 FIXED_HOURS = {
@@ -173,8 +176,7 @@ def convert(texts: np.ndarray, spans: dict[str, tuple[int, int]], tables: dict[s
         micros = _numbers(chars, (a, b)) * 10 ** (6 - (b - a))
     if "wd" in spans:
         named = _words(texts, spans["wd"], lambda w: WEEKDAYS.get(w, -1)).astype(np.int64)
-        good &= named >= 0
-        if "off" not in spans:
+        if "off" not in spans:  # a stated offset prevails over any weekday, known or not
             good &= named == (days + 3) % 7
     if "off" in spans:
         a, b = spans["off"]

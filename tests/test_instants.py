@@ -62,3 +62,10 @@ def test_one_instant_per_message(spark):
 
 def test_zone_tables_are_versioned():
     assert zones.version() != "unknown" and len(TABLES["america/new_york"][0]) > 100
+
+
+def test_weekdays_of_four_languages_and_unknown_ones():
+    at = us(2025, 1, 6, 9)
+    assert parse("Montag, 6. Januar 2025, 10:00:00 +0100", "lundi, 6 janvier 2025 10:00 +0100", "lunes, 6 de enero de 2025 10:00 +0100", "Ponedeljek, 6 Jan 2025 10:00 +0100") == [at] * 4
+    assert parse("Montag, 6. Januar 2025, 09:00 UTC", "lundi, 6 janvier 2025 09:00 UTC", "lunes, 6 de enero de 2025 09:00 UTC") == [at] * 3
+    assert parse("Dienstag, 6. Januar 2025, 09:00 UTC", "Ponedeljek, 6 Jan 2025 09:00 UTC") == [None, None]
