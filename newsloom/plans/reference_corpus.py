@@ -468,6 +468,18 @@ def entity_mentions(spark, at):
     return per.groupBy("entity").agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("mentions"))
 
 
+#: Capitalised words of any script, less those that begin a line or sentence.
+_CAPITALISED = r"(?m)(?<!\p{L})(?<!(?:^|[.!?…])[\s\"“”„‘’'()*•–-]{0,4})(\p{Lu}\p{Ll}{3,})(?!\p{L})"
+
+
+@query()
+def all_entity_mentions(spark, at):
+    """The whole of entity_mentions, whose SQL takes names of certain endings."""
+    d = table(spark, at, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_CAPITALISED), F.lit(1))).alias("entity"))
+    per = d.groupBy("doc_id", "entity").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("entity").agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("mentions"))
+
+
 @query("""SELECT doc_id, words, round(words / 230, 6) AS minutes, bytes, bytes < 102 * 1024 AS fits FROM (SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS BIGINT) AS words, CAST(octet_length(encode(text)) AS BIGINT) AS bytes FROM documents WHERE text IS NOT NULL)""")
 def copy_limits(spark, at):
     d = table(spark, at, "documents").filter("text IS NOT NULL").select("doc_id", text.word_count(F.col("text")).alias("words"), F.octet_length("text").cast("long").alias("bytes"))

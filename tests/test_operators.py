@@ -148,3 +148,11 @@ def test_later_entities_and_those_of_the_body_link(spark, tmp_path):
     rows = [(1, "Amber meets Copper\nand then Ledger, xLedger"), (2, "Granite buys Copper"), (3, "Nothing\nLedger and Ledger"), (4, None), (5, "xLedger Ledgeré")]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert sorted(tuple(r) for r in Q.all_entity_links(spark, str(tmp_path)).select("a", "b", "entity").collect()) == [(1, 2, "Copper"), (1, 3, "Ledger")]
+
+
+def test_names_of_any_ending_are_counted(spark, tmp_path):
+    from newsloom.plans import reference_corpus as Q
+
+    rows = [(1, "When Siemens met Müller. Then Siemens left.\nAgain “Quokelo” won"), (2, "“Still” at Siemens"), (3, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(tuple(r) for r in Q.all_entity_mentions(spark, str(tmp_path)).collect()) == [("Müller", 1, 1), ("Quokelo", 1, 1), ("Siemens", 2, 3)]
