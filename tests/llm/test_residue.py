@@ -71,21 +71,48 @@ def samples(parsed):
     return ["".join([*(p[-1] for p in parts[:i]), t, *(p[-1] for p in parts[i + 1 :])]) for i, p in enumerate(parts) for t in p] or [""]
 
 
-def test_first_look_drops_no_line_that_a_rule_matches(spark):
+def test_guards_drop_no_line_that_a_rule_matches(spark):
     rules = [*R.PLACEHOLDERS, *R.FAILED, *R.FILLER, *R.SURE, *R.GENERAL]
     each = [[t for t in samples(re._parser.parse(r)) if re.search(r, t, re.IGNORECASE)] for r in rules]
     assert [r for r, t in zip(rules, each, strict=True) if not t] == []
     texts = {t for x in each for t in x if "\n" not in t}
     texts |= {t.upper() for t in texts} | {t.replace(" ", " \t ") for t in texts}
     words = R.LATIN.split()
-    texts |= {f"{w} {v}, {w}. {w}" for w, v in zip(words, reversed(words), strict=True)} | {f"{w} 12 {v}\tHouses {w}" for w, v in zip(words, words[3:], strict=False)} | {f"in `a` {w} `b` {w} `c` ex" for w in words}
-    lines = spark.createDataFrame([(t, "body", t) for t in sorted(texts)], "msg_id string, field_name string, text string")
-    whole = lines.withColumn("line", F.regexp_replace("text", R.CODE_QUOTED, "`")).withColumn("mask", R.masked(F.col("line")))
-    every = {r.msg_id for r in R.kinds(whole).collect()}
-    assert len(every) > 1000
-    assert sorted(every - {r.msg_id for r in R.cue_lines(lines).collect()}) == []
+    texts |= {f"{w} {v}, {w}. {w}" for w, v in zip(words, reversed(words), strict=True)} | {f"{w} 12 {v}\tHouses {w}" for w, v in zip(words, words[3:], strict=False)}
+    lines = spark.createDataFrame([(t,) for t in sorted(texts)], "line string").withColumn("flat", R.plain(F.col("line"))).withColumn("mask", R.masked(F.col("flat")))
+    flat, mask = F.col("flat"), F.col("mask")
+    whole = flat.rlike(R._PLACE) | mask.rlike("(?i)" + "|".join((*R.FAILED, *R.FILLER))) | (R._latin_share(mask) >= R.LATIN_SHARE) | mask.rlike(R._SURE)
+    rows = lines.select("line", whole.alias("whole"), R.own_kind(flat, mask).isNotNull().alias("own"), R.wide_kind(flat, mask).isNotNull().alias("wide"), mask.rlike(R._GENERAL).alias("general")).collect()
+    assert sum(r.whole for r in rows) > 1000
+    assert [r.line for r in rows if r.whole != r.own] == []
+    assert [r.line for r in rows if (r.whole or r.general) and not r.wide] == []
 
 
 def test_lines_without_a_listed_word(spark):
     lines = ["Dolor irure enim irure sint velit.", "Hi None,", "Hello None!", "Test email", "Please enable cookies.", "The page could not be found", "The page does not exist.", "Fehler 404 - Seite nicht gefunden", "Script is disabled", "Hola $prénom$, hi", "502 Bad \t Gateway", "NONE"]
     assert found(spark, lines) == set(range(len(lines)))
+
+
+UNLISTED = ["Scripts must be allowed before this letter can appear.", "<<First Name goes here please>>", "Ihre Sitzung konnte nicht erneuert werden, Zugriff verweigert.", "Put your teaser text here before sending", "{Anrede des Empfängers}", "«your first name goes here»", "Platzhalter: Überschrift", "La connexion au serveur a échoué."]
+ORDINARY = ["View this issue in your browser", "Trouble viewing? Read it in your browser with images enabled", "Access denied: a court closes the archive", "JavaScript is required reading this week", "Read the full text here", "[March] a security patch", "« La forêt gagnée »", "Please confirm your address", "Markets are closed today.", "100% off and 20% more", "Unsubscribe | Manage preferences | Contact"]
+
+
+def test_recurrence_finds_what_no_list_names(spark):
+    texts = [f"Edition {i}\n{t}" for t in UNLISTED + ORDINARY for i in range(60)]
+    where = [f"s{i % 20}" for _ in UNLISTED + ORDINARY for i in range(60)]
+    got = found(spark, texts, where)
+    assert {i // 60 for i in got} == set(range(len(UNLISTED)))
+    assert len(got) == 60 * len(UNLISTED)
+    assert found(spark, texts, ["one"] * len(texts)) == set()
+
+
+def test_placeholders_of_any_length(spark):
+    assert found(spark, ["Hi {{ " + "customer.profile." * 20 + "name }},", "{% if " + "a and " * 50 + "b %}", "[Insert " + "very " * 60 + "long copy]", "*|" + "X" * 90 + "|*", "[" + "word " * 30 + "TK]"]) == {0, 1, 2, 3, 4}
+
+
+def test_a_hot_message_and_unknown_sources(spark):
+    fields = spark.createDataFrame([(str(i), "body", "one more step\n" * 3 if i % 3 == 0 else f"own {i}") for i in range(300)], "msg_id string, field_name string, text string")
+    who = spark.createDataFrame([(str(i), f"s{i % 9}") for i in range(300)], "msg_id string, source string")
+    assert {int(r.msg_id) for r in R.residue(fields, who).collect()} == set(range(0, 300, 3))
+    assert R.residue(fields, who.withColumn("source", F.lit(None).cast("string"))).count() == 0
+    assert R.residue(fields.limit(0), who).count() == 0
