@@ -95,7 +95,13 @@ def p8_mixed(spark: SparkSession, at: str) -> DataFrame:
 
 
 def p8_shares(spark: SparkSession, at: str) -> DataFrame:
-    return mixing.report(*_mix(spark, at))
+    return mixing.report(*_mix(spark, at), table(spark, at, "mix_targets"))
+
+
+def p8_leaves(spark: SparkSession, at: str) -> DataFrame:
+    """The leaves of the tree with their budgets; null domains and languages are branches."""
+    name = lambda c: F.nullif(c, F.lit(mixing.NONE)).alias(c)
+    return _mix(spark, at)[1].select("source", name("domain"), name("lang"), F.round("weight", 9).alias("weight"), "cap", F.col("rows").alias("records"), "tokens", "budget", "epochs", "rest")
 
 
 def p9_levels(spark: SparkSession, at: str) -> DataFrame:
@@ -113,7 +119,7 @@ def p9_profile(spark: SparkSession, at: str) -> DataFrame:
     return graded.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.round(F.avg("level"), 3).alias("mean_level"), F.count_if(F.col("level") >= readability.DEMANDING).alias("demanding"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_linked": p1_linked, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_mixed": p8_mixed, "p8_shares": p8_shares, "p9_found": p9_found, "p9_levels": p9_levels, "p9_profile": p9_profile}
+QUERIES = {"p1_found": p1_found, "p1_linked": p1_linked, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_mixed": p8_mixed, "p8_shares": p8_shares, "p8_leaves": p8_leaves, "p9_found": p9_found, "p9_levels": p9_levels, "p9_profile": p9_profile}
 
 _SENDERS = r"""(SELECT lower(regexp_replace(msg_id, '\s+', '', 'g')) AS msg_id,
     min(regexp_replace(lower(trim(CASE WHEN regexp_extract(from_h, '<([^<>]*)>\s*$', 1) <> '' THEN regexp_extract(from_h, '<([^<>]*)>\s*$', 1) ELSE from_h END)), '\+[^@]*@', '@')) AS source

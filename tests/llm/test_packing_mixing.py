@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from newsloom.llm import mixing, packing, tokens
 
@@ -59,14 +60,71 @@ def test_packed(spark):
     assert packing.pack(df.limit(0), kinds, "id").count() == 0
 
 
-def test_shortage_goes_to_siblings_first():
+def divide(budget, weights, limits):
+    """The plain way: what is full leaves its rest to the others, again and again."""
+    out, left, open_ = [0.0] * len(weights), budget, {i for i, (w, x) in enumerate(zip(weights, limits, strict=True)) if w > 0 and x > 0}
+    while open_ and left > 1e-9:
+        total = sum(weights[i] for i in open_)
+        full = {i for i in open_ if limits[i] - out[i] <= left * weights[i] / total}
+        if not full:
+            for i in open_:
+                out[i] += left * weights[i] / total
+            break
+        for i in full:
+            left -= limits[i] - out[i]
+            out[i] = limits[i]
+        open_ -= full
+    return out
+
+
+def by_tree(leaves, total, path=("domain", "lang")):
+    if not path:
+        return {(x["domain"], x["lang"], x["source"]): p for x, p in zip(leaves, divide(total, [x["weight"] for x in leaves], [x["limit"] for x in leaves]), strict=True)}
+    branches = defaultdict(list)
+    for x in leaves:
+        branches[x[path[0]]].append(x)
+    groups = list(branches.values())
+    parts = divide(total, [sum(x["weight"] for x in g) for g in groups], [sum(x["limit"] for x in g if x["weight"] > 0) for g in groups])
+    return {k: v for g, p in zip(groups, parts, strict=True) for k, v in by_tree(g, p, path[1:]).items()}
+
+
+def budgets(spark, leaves, total):
+    df = spark.createDataFrame([(x["source"], x["domain"], x["lang"], float(x["weight"]), float(x["limit"])) for x in leaves], "source string, domain string, lang string, weight double, limit double")
+    return {(r.domain, r.lang, r.source): r.budget for r in mixing.budgets(df, F.lit(float(total))).collect()}
+
+
+def test_shortage_goes_to_siblings_first(spark):
     leaf = lambda s, d, l, w, n: {"source": s, "domain": d, "lang": l, "weight": w, "limit": n}  # noqa: E731, E741
-    got = mixing.budgets([leaf("a", "x", "en", 0.25, 10), leaf("b", "x", "en", 0.25, 1000), leaf("c", "x", "de", 0.25, 1000), leaf("d", "y", "en", 0.25, 1000)], 400)
+    got = {k[2]: v for k, v in budgets(spark, [leaf("a", "x", "en", 0.25, 10), leaf("b", "x", "en", 0.25, 1000), leaf("c", "x", "de", 0.25, 1000), leaf("d", "y", "en", 0.25, 1000)], 400).items()}
     assert got["a"] == 10 and abs(got["b"] - 190) < 1e-6 and abs(got["c"] - 100) < 1e-6 and abs(got["d"] - 100) < 1e-6
-    short = mixing.budgets([leaf("a", "x", "en", 0.5, 10), leaf("d", "y", "en", 0.5, 1000)], 400)
+    short = {k[2]: v for k, v in budgets(spark, [leaf("a", "x", "en", 0.5, 10), leaf("d", "y", "en", 0.5, 1000)], 400).items()}
     assert short == {"a": 10, "d": 390}
 
 
+def test_budgets_against_the_plain_way(spark):
+    r = random.Random(8)
+    for total in (50, 2000, 10**6):
+        leaves = [{"source": f"s{i}", "domain": d, "lang": x, "weight": r.choice([0, r.random()]), "limit": r.choice([0, 5, r.randrange(1, 900)])} for i in range(9) for d in "abc" for x in ("en", "de") if r.random() < 0.7]
+        got, want = budgets(spark, leaves, total), by_tree(leaves, total)
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_a_source_stands_in_all_its_branches(spark):
+    r = random.Random(6)
+    rows = [(i, f"s{i % 3}", r.choice(["en", "de", None]), r.choice(["x", "y", None]), r.randrange(1, 400)) for i in range(3000)]
+    sized = spark.createDataFrame(rows, "doc_id int, source string, lang string, segment string, tokens int")
+    targets = spark.createDataFrame([("s0", 0.5, 2), ("s1", 0.2, 9), ("s2", 0.1, 1), ("absent", 0.2, 4)], "source string, target_share double, max_repeats int")
+    taken, leaves = mixing.mix(sized, targets)
+    assert leaves.count() == 27
+    got = {x.source: x for x in mixing.report(taken, leaves, targets).collect()}
+    for s, share in (("s0", 0.5 / 0.8), ("s1", 0.2 / 0.8), ("s2", 0.1 / 0.8)):  # the absent share goes to all, by weight
+        assert abs(got[s].actual_share - share) < 0.002 and got[s].leaves == 9
+        assert got[s].budget_tokens - 400 < got[s].taken_tokens <= got[s].budget_tokens
+    assert got["absent"].taken_tokens == 0
+    whole = sum(t for *_, t in rows)
+    assert abs(sum(x.budget_tokens for x in got.values()) - whole) <= 27
+
+
 def test_mix(spark):
     r = random.Random(4)
     rows = [(i, "hot" if i % 3 else f"s{i % 5}", "en", "g", r.randrange(1, 400)) for i in range(3000)] + [(9000, "other", None, None, 5), (9001, None, "en", "g", 5)]
@@ -83,7 +141,7 @@ def test_mix(spark):
     for s in caps:
         assert plan[s].budget - 400 < sums[s] <= plan[s].budget
     assert sorted(map(tuple, mixing.mix(sized.repartition(2), targets, 300_000)[0].collect())) == sorted(map(tuple, rows_taken))
-    report = {x.source: x for x in mixing.report(taken, leaves).collect()}
+    report = {x.source: x for x in mixing.report(taken, leaves, targets).collect()}
     assert abs(sum(x.actual_share for x in report.values()) - 1) < 1e-4 and report["gone"].taken_tokens == 0
     assert mixing.mix(sized.limit(0), targets)[0].count() == 0
 
