@@ -4,7 +4,8 @@ Profiles are what the mailbox shows of a sender: address, shown name, box writte
 noisy attributes (bags of name words in any order, compact names, names with one letter missing, publishers, hosts).
 
 1. Candidate graph: profiles and tracker rows that share an attribute, each shared attribute weighted by how rare it is.
-2. Meta-blocking: of each profile only the edges at or above its mean edge weight remain.
+2. Meta-blocking: attributes that very many newsletters bear are purged, and of each profile only the edges at or above its
+   mean edge weight remain.
 3. Own similarity of each edge from the kinds of its evidence. A shown name that equals a current or former name is sure; an
    address that spells the name is strong; a misspelt name, a publisher or a host alone are weak.
 4. Propagation: an address hands what its sure profiles say to its other profiles (a bare first name, initials, a publisher,
@@ -21,6 +22,7 @@ evidence; an empty side gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 from email.header import decode_header, make_header
@@ -42,13 +44,15 @@ LEAST = 0.5
 BOX_SAME, BOX_UNKNOWN, BOX_OTHER = 1.0, 0.3, 0.05
 #: The weight of a neighbour's newsletter for a profile that itself shows nothing of it.
 NO_EVIDENCE = 0.05
-#: The share of a neighbour's certainty that is handed on; the change below which it is stable; rounds at most (a guard that
-#: is never reached in practice, as similarities only grow and are bounded).
-HANDED_ON, STABLE, ROUNDS = 0.9, 0.01, 20
+#: The share of a neighbour's certainty that is handed on; the change below which it is stable; the rounds after which
+#: similarities may only grow, so that the propagation always ends.
+HANDED_ON, STABLE, CALM_ROUNDS = 0.9, 0.01, 12
+#: Block purging: an attribute borne by so many newsletters that it would add less to an edge than this names none of them.
+LEAST_WEIGHT = 0.002
 #: Tables are broadcast up to so many rows.
 BROADCAST_ROWS = 200_000
-#: Names longer than this get no attributes with a letter missing.
-LONGEST = 40
+#: Names with a letter missing are written out up to this length, longer ones as a hash.
+WRITTEN_OUT = 40
 
 # Words that names are written with or without, legal forms of publishers, habits of host names.
 FILL_WORDS = {"the", "a", "newsletter", "newsletters", "team", "daily", "no", "reply", "noreply"}
@@ -59,6 +63,7 @@ SPLIT_OFF = re.compile(r"\s+(?:[|•·]|by)\s+")
 PERSON_AT = re.compile(r"\s+(?:at|from|@|of|via|bei|chez|von)\s+", re.IGNORECASE)
 FORMER = re.compile(r"\((?:ex-|ex |formerly |fka )\s*([^)]*)\)", re.IGNORECASE)
 HOST_NOTE = re.compile(r"\(([\w-]+(?:\.[\w-]+)+)\)")
+_BASE, _PRIME = 1_000_003, 2**61 - 1
 LETTERS = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "æ": "ae", "œ": "oe", "ß": "ss", "ı": "i"})
 
 
@@ -76,7 +81,21 @@ def words(text: str, drop: set[str] = FILL_WORDS) -> list[str]:
 
 
 def _deletions(compact: str) -> set[str]:
-    return {compact[:i] + compact[i + 1 :] for i in range(len(compact))} | {compact} if 4 < len(compact) <= LONGEST else set()
+    """The name and all forms of it with one letter missing, in time that grows with the length only."""
+    n = len(compact)
+    if n <= WRITTEN_OUT:
+        return {compact[:i] + compact[i + 1 :] for i in range(n)} | {compact} if n > 4 else set()
+    # a polynomial hash of the letters before and after the gap
+    before, powers = [0], [1]
+    for c in compact:
+        before.append((before[-1] * _BASE + ord(c)) % _PRIME)
+        powers.append(powers[-1] * _BASE % _PRIME)
+    whole = before[n]
+    found = {f"#{whole}"}
+    for i in range(n):
+        after = whole - before[i + 1] * powers[n - i - 1]
+        found.add(compact[:i] + compact[i + 1 :] if n - 1 <= WRITTEN_OUT else f"#{(before[i] * powers[n - i - 1] + after) % _PRIME}")
+    return found
 
 
 def _bags(parts: list[list[str]]) -> set[tuple[str, str]]:
@@ -180,6 +199,17 @@ def _broadcast(written: DataFrame) -> DataFrame:
     return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
 
 
+def _join_lists(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """rows joined with other, which has few rows for each key; it is broadcast if it is small, else hot keys of rows are split."""
+    if other.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(other), key)
+    per = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    values = [c for c in other.columns if c != key]
+    lists = durable(other.groupBy(key).agg(F.collect_list(F.struct(*values)).alias("_v")).join(per, key))
+    total = lists.agg(F.sum("_n")).first()[0] or 0
+    return join_counted(rows, lists, key, "_n", total).select(*rows.columns, F.inline("_v"))
+
+
 def box_of(*headers: Column) -> Column:
     """The first address with a `+` tag in the headers, else the first address at all."""
     found = [F.lower(F.regexp_extract(F.coalesce(h, F.lit("")), r"([\w.+-]+@[\w.-]+)", 1)) for h in headers]
@@ -204,7 +234,9 @@ def profiles_of(headers: DataFrame, known: set[str] | None = None) -> DataFrame:
 
     # the headers are small but slow to describe: they are spread over all cores again after the shuffle has gathered them
     spread = headers.select("from_h").distinct().repartition(headers.sparkSession.sparkContext.defaultParallelism)
-    names = spread.withColumn("s", F.pandas_udf(senders, SENDER)("from_h")).select("from_h", "s.*")
+    # declared non-deterministic so that the filter below never moves the description to the rows before they are made distinct
+    describe = F.pandas_udf(senders, SENDER).asNondeterministic()
+    names = spread.withColumn("s", describe("from_h")).select("from_h", "s.*")
     return headers.join(_unpacked(names.filter("address IS NOT NULL")), "from_h")
 
 
@@ -223,11 +255,11 @@ def candidate_edges(profiles: DataFrame, tracker: DataFrame) -> DataFrame:
     ours = profiles.select("pid", F.explode("attrs").alias("x")).select("pid", F.col("x.a").alias("a"), F.col("x.kind").alias("kind"))
     theirs = tracker.select("sid", F.explode("attrs").alias("x")).select("sid", F.col("x.a").alias("a"))
     per = W.Window.partitionBy("a")
-    theirs = _broadcast(durable(theirs.distinct().withColumn("df", F.count(F.lit(1)).over(per))))
+    theirs = durable(theirs.distinct().withColumn("df", F.count(F.lit(1)).over(per)))
     weight = {"shown": SURE, "spelt": SPELT, "misspelt": MISSPELT, "publisher": PUBLISHER, "host": HOST, "word": WORD}
     base = F.coalesce(*(F.when(F.col("kind") == k, F.lit(w)) for k, w in weight.items()))
     # rare shared attributes weigh more; a name that several rows bear is no sure sign of one of them
-    hits = ours.join(theirs, "a").withColumn("w", base / F.col("df"))
+    hits = _join_lists(ours, theirs.filter(F.col("df") <= SURE / LEAST_WEIGHT), "a").withColumn("w", base / F.col("df")).filter(F.col("w") >= LEAST_WEIGHT)
     edges = hits.groupBy("pid", "sid", "kind").agg(F.max("w").alias("top"), F.sum("w").alias("sum"))
     edges = edges.groupBy("pid", "sid").agg(F.sum("sum").alias("weight"), (1 - F.try_divide(F.exp(F.sum(F.log(F.greatest(F.lit(1e-6), 1 - F.col("top"))))), F.lit(1.0))).alias("own"))
     mine = W.Window.partitionBy("pid")
@@ -252,14 +284,14 @@ def link_profiles(profiles: DataFrame, tracker: DataFrame) -> DataFrame:
     own = durable(candidate_edges(profiles, tracker))
     slim = durable(profiles.select("pid", "address", "box", "n", "core", _publishers("attrs")))
     rows = _broadcast(durable(tracker.select("sid", F.col("box").alias("ordered_to"), F.col("core").alias("name"), _publishers("attrs").alias("published_by"))))
-    state, handed = own.withColumnRenamed("own", "s"), None
-    for _ in range(ROUNDS):
+    state = own.withColumnRenamed("own", "s")
+    for done in itertools.count():
         # what each address knows for sure: only similarities above LEAST count, a full one as 1
         sure = F.greatest(F.lit(0.0), (F.col("s") - LEAST) / (1 - LEAST))
         known = state.filter(F.col("s") > LEAST).join(slim.select("pid", "address", "n"), "pid").groupBy("address", "sid").agg(F.sum(sure * F.col("n")).alias("mass"))
         total = slim.groupBy("address").agg(F.sum("n").alias("all"))
-        known = _broadcast(durable(known.join(total, "address").select("address", "sid", (F.col("mass") / F.col("all")).alias("share"))))
-        beside = slim.join(known, "address").join(rows, "sid")
+        known = durable(known.join(total, "address").select("address", "sid", (F.col("mass") / F.col("all")).alias("share")))
+        beside = _join_lists(slim, known, "address").join(rows, "sid")
         fit = F.when(F.col("box") == F.col("ordered_to"), BOX_SAME).when((F.col("box") == "") | F.col("ordered_to").isNull() | ~F.contains("box", F.lit("+")), BOX_UNKNOWN).otherwise(BOX_OTHER)
         mine = W.Window.partitionBy("pid")
         beside = beside.filter(~_contradicts(F.col("core"), F.col("name"), F.arrays_overlap("publishers", "published_by"))).join(own, ["pid", "sid"], "left")
@@ -267,10 +299,11 @@ def link_profiles(profiles: DataFrame, tracker: DataFrame) -> DataFrame:
         beside = beside.withColumn("all_parts", F.sum("part").over(mine)).withColumn("certain", F.least(F.lit(1.0), F.sum("share").over(mine)))
         support = beside.select("pid", "sid", (F.sqrt("certain") * F.col("part") / F.col("all_parts") * HANDED_ON).alias("support"))
         both = own.join(support, ["pid", "sid"], "full_outer").select("pid", "sid", F.coalesce("own", F.lit(0.0)).alias("own"), F.coalesce("support", F.lit(0.0)).alias("support"))
-        state_now = durable(both.select("pid", "sid", (F.col("own") + (1 - F.col("own")) * F.col("support")).alias("s")))
-        before = handed if handed is not None else own.withColumnRenamed("own", "s")
-        moved = state_now.join(before.withColumnRenamed("s", "was"), ["pid", "sid"], "left").select(F.max(F.abs(F.col("s") - F.coalesce("was", F.lit(0.0))))).first()[0] or 0.0
-        state = handed = state_now
+        both = both.withColumn("s", F.col("own") + (1 - F.col("own")) * F.col("support")).select("pid", "sid", "s").join(state.withColumnRenamed("s", "was"), ["pid", "sid"], "left")
+        was = F.coalesce("was", F.lit(0.0))
+        state = durable(both.select("pid", "sid", F.greatest("s", was).alias("s") if done >= CALM_ROUNDS else "s", was.alias("was")))
+        moved = state.select(F.max(F.abs(F.col("s") - F.col("was")))).first()[0] or 0.0
+        state = state.drop("was")
         if moved < STABLE:
             break
     best = state.groupBy("pid").agg(F.max(F.struct("s", (-F.col("sid")).alias("minus"))).alias("b"))
@@ -284,7 +317,7 @@ def link(messages: DataFrame, tracker: DataFrame, key: str = "msg_id") -> DataFr
     newsletter_name, publisher, signup_url and subscribe_email.
     """
     slim = messages.select(key, F.coalesce("from_h", F.lit("")).alias("from_h"), box_of(F.col("to_h"), F.col("delivered_to")).alias("box"))
-    headers = slim.groupBy("from_h", "box").agg(F.count(F.lit(1)).alias("n"))
+    headers = durable(slim.groupBy("from_h", "box").agg(F.count(F.lit(1)).alias("n")))
     rows = tracker.withColumn("r", F.pandas_udf(_rows, ROW)("newsletter_name", "publisher", "signup_url"))
     rows = durable(_unpacked(rows.select(F.col("source_id").alias("sid"), F.lower(F.trim("subscribe_email")).alias("box"), "r.*")))
     described = durable(profiles_of(headers, known_attributes(rows)).withColumn("pid", F.xxhash64("address", "label", "box")))

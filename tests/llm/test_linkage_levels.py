@@ -49,6 +49,30 @@ def test_all_header_forms_of_a_profile_count(spark):
     assert links[0] == links[1] and {m for m, _, _ in links[0]} == set(who)
 
 
+def test_long_names_one_letter_off():
+    name = "amber" * 30
+    for n in (40, 41, 42, 150):
+        whole, gone = name[:n], name[: n // 2] + name[n // 2 + 1 : n]
+        assert K._deletions(whole) & K._deletions(gone) and K._deletions(whole) & K._deletions(whole[:3] + "x" + whole[4:])
+        assert not K._deletions(whole) & K._deletions("zebra" * 30)
+    assert len(K._deletions("amberx" * 5000)) == 30_001
+
+
+def test_partitions_change_nothing(spark):
+    tracker, mail, truth = world()
+    results = []
+    for parts in (1, 7):
+        got = K.link(spark.createDataFrame(mail, MAIL).repartition(parts, "msg_id"), spark.createDataFrame(tracker, TRACKER).repartition(parts)).collect()
+        results.append({(r.msg_id, r.source_id, round(r.confidence, 9)) for r in got})
+    assert results[0] == results[1] and {m: s for m, s, _ in results[0]} == truth
+
+
+def test_large_trackers_join_by_shuffle(spark, monkeypatch):
+    tracker, mail, truth = world()
+    monkeypatch.setattr(K, "BROADCAST_ROWS", 0)
+    assert {r.msg_id: r.source_id for r in K.link(spark.createDataFrame(mail, MAIL), spark.createDataFrame(tracker, TRACKER)).collect()} == truth
+
+
 def test_empty_sides(spark):
     tracker, mail, _ = world()
     t, m = spark.createDataFrame(tracker, TRACKER), spark.createDataFrame(mail, MAIL)
