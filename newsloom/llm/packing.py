@@ -1,13 +1,16 @@
 """Items of varying length packed into containers of fixed capacity.
 
 1. An item above the capacity is cut into full containers and a rest; no other item is split.
-2. The global histogram of lengths (at most one number per length up to the capacity, whatever the data) goes to the driver.
-3. Dynamic programming over it chooses the bucket boundaries with the least padding, exactly, by the lower envelope of lines.
+2. The global histogram of lengths goes to the driver: at most GRAINS numbers a kind, whatever the data (the lengths of larger
+   capacities are rounded up to grains for planning, so that a container is never overfull).
+3. Dynamic programming over it chooses the bucket boundaries with the least padding, exactly: a price for each bucket turns it
+   into a problem in one dimension, solved along the lower envelope of lines; the price is searched by halving.
 4. Token-budget batches form inside each bucket: a container takes as many items of its bucket as the budget allows. Items
    above half the capacity would then sit alone, so the room that a batch leaves is topped up from the smaller buckets that
    fit. Both work on the counts of the buckets: a plan is a short list of patterns with their number of containers.
-5. Items are ranked inside their bucket without any task seeing a whole bucket (ranks in hash parts, plus the sizes of the
-   parts before) and find their container by arithmetic from the plan.
+5. Items are ranked inside their bucket without any task seeing a whole bucket (ranks in hash parts whose number follows from
+   the counts, plus the sizes of the parts before) and find their pattern by the block of their rank, their container by
+   arithmetic.
 
 The result depends on the items only, not on partitions. Defined results: null, zero and negative lengths need no container;
 ties are ranked by key; equal rows are packed each; an empty table gives no containers.
@@ -22,58 +25,74 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from newsloom.plans.durable import join_counted
 
-#: Buckets at most for each capacity; parts in which a bucket is ranked.
-BUCKETS, PARTS = 256, 256
-#: Kinds of containers at most; every item goes into one of each.
-MOST_KINDS = 1000
+#: Buckets at most for each capacity; distinct lengths that are told apart; items of a part or a block of ranks on average.
+BUCKETS, GRAINS, PART_ROWS = 256, 1 << 20, 50_000
+#: Kinds of containers planned at once; more go in turns.
+KINDS_AT_ONCE = 1000
+#: Tables are broadcast up to so many rows.
+BROADCAST_ROWS = 200_000
 
 
-def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
-    """The upper bounds of at most `buckets` buckets with the least total padding, sum of count * (bound - length).
+def _priced(b: list[int], h: list[int], s: list[int], price: int, scale: int) -> list[int]:
+    """The bounds (as numbers of lengths covered, from 0) of the buckets with the least padding * scale + price * buckets.
 
-    lengths is ascending. With k buckets the best cost of the first j lengths is b_j * H_j - S_j + min_i (cost_i + S_i - b_j * H_i),
+    With one more bucket, from length i on, the first j lengths cost best_i + price + scale * (b_j * (H_j - H_i) - (S_j - S_i)),
     where H and S are running counts and totals: lines in b_j whose slopes fall, so that one pass over the lower envelope
     serves all j.
     """
+    n = len(b)
+    cut, line, value, head = [0] * (n + 1), [0], [0], 0
+    line_h = [0]
+    for j in range(1, n + 1):
+        x = b[j - 1] * scale
+        while head + 1 < len(line) and value[head + 1] - x * line_h[head + 1] <= value[head] - x * line_h[head]:
+            head += 1
+        cut[j] = line[head]
+        v = price + x * (h[j] - line_h[head]) + value[head]  # best_j + scale * S_j
+        while len(line) - head >= 2 and (v - value[-2]) * (line_h[-1] - line_h[-2]) <= (value[-1] - value[-2]) * (h[j] - line_h[-2]):
+            line.pop(), value.pop(), line_h.pop()
+        line.append(j), value.append(v), line_h.append(h[j])
+    path = [n]
+    while path[-1]:
+        path.append(cut[path[-1]])
+    return path[::-1]
+
+
+def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+    """The upper bounds of at most `buckets` buckets with the least total padding, sum of count * (bound - length).
+
+    lengths is ascending. The least padding is convex in the number of buckets, so some whole price for a bucket makes that
+    number one of the best. At this price the solution with the fewest buckets and that with the most are joined where a
+    bucket of one holds a bucket of the other, which gives the very number.
+    """
     n = len(lengths)
     if n <= buckets:
         return lengths
-    b = lengths.astype(float)
-    h = np.concatenate([[0.0], np.cumsum(counts, dtype=float)])
-    s = np.concatenate([[0.0], np.cumsum(counts * b)])
-    cost = np.full(n + 1, np.inf)
-    cost[0] = 0.0
-    choice = np.zeros((buckets, n + 1), dtype=np.int32)
-    for k in range(buckets):
-        new = np.full(n + 1, np.inf)
-        line: list[int] = []
-        value = cost + s
-        head = 0
-        for j in range(1, n + 1):
-            i = j - 1
-            if np.isfinite(cost[i]):
-                while len(line) - head >= 2:
-                    p, q = line[-2], line[-1]
-                    if (value[i] - value[p]) * (h[q] - h[p]) <= (value[q] - value[p]) * (h[i] - h[p]):
-                        line.pop()
-                    else:
-                        break
-                line.append(i)
-            x = b[j - 1]
-            while len(line) - head >= 2 and value[line[head + 1]] - x * h[line[head + 1]] <= value[line[head]] - x * h[line[head]]:
-                head += 1
-            if len(line) > head:
-                i = line[head]
-                new[j], choice[k, j] = x * h[j] - s[j] + value[i] - x * h[i], i
-        cost = new
-    out, j = [], n
-    for k in range(buckets - 1, -1, -1):
-        out.append(lengths[j - 1])
-        j = choice[k, j]
-        if j == 0:
-            break
-    return np.array(sorted(out))
+    b = [int(x) for x in lengths]
+    h, s = [0], [0]
+    for x, c in zip(b, counts, strict=True):
+        h.append(h[-1] + int(c))
+        s.append(s[-1] + int(c) * x)
+    scale = 2 * n + 1  # so that a penny a bucket never outweighs a unit of padding
+    solve = lambda price, penny: _priced(b, h, s, price * scale + penny, scale)
+    low, high = -1, b[-1] * h[-1] + 1
+    while high - low > 1:
+        mid = (low + high) // 2
+        if len(solve(mid, 1)) - 1 <= buckets:
+            high = mid
+        else:
+            low = mid
+    few, many = solve(high, 1), solve(high, -1)
+    more = buckets - (len(few) - 1)
+    path = few
+    if more and len(many) - len(few) <= more:
+        path = many
+    elif more:
+        i = next(i for i in range(len(few) - 1) if few[i] <= many[i + more] and many[i + more + 1] <= few[i + 1])
+        path = many[: i + more + 1] + few[i + 1 :]
+    return np.array([b[j - 1] for j in dict.fromkeys(path[1:])])
 
 
 @dataclass(frozen=True)
@@ -117,44 +136,78 @@ def plan(bounds: np.ndarray, counts: np.ndarray, capacity: int) -> list[Segment]
     return out
 
 
-def pieces(items: DataFrame, containers: DataFrame, key: str, tokens: str = "tokens", kind: str = "container_kind", capacity: str = "capacity_tokens") -> DataFrame:
+def pieces(items: DataFrame, kinds: list[tuple], schema: str, key: str, tokens: str, kind: str) -> DataFrame:
     """(kind, capacity, key, piece_no, tokens): each item once per kind, cut only above the capacity."""
-    kinds = containers.filter(F.col(capacity) > 0).select(kind, F.col(capacity).alias("capacity"))
-    rows = kinds.distinct().limit(MOST_KINDS + 1).collect()
-    if len(rows) > MOST_KINDS:
-        raise ValueError(f"more than {MOST_KINDS} kinds of containers")
-    each = F.array(*(F.struct(F.lit(r[kind]).alias(kind), F.lit(r["capacity"]).alias("capacity")) for r in rows)) if rows else F.array().cast(f"array<{kinds.schema.simpleString()}>")
-    both = items.filter(F.col(tokens) > 0).select(key, F.col(tokens).alias("_n"), F.explode(each).alias("_k")).select(key, "_n", "_k.*")
+    each = F.array(*(F.struct(F.lit(name).alias(kind), F.lit(cap).cast("long").alias("capacity")) for name, cap in kinds)) if kinds else F.array().cast(f"array<struct<`{kind}`:{schema},capacity:bigint>>")
+    both = items.filter(F.col(tokens) > 0).select(key, F.col(tokens).cast("long").alias("_n"), F.explode(each).alias("_k")).select(key, "_n", "_k.*")
     both = both.withColumn("piece_no", F.explode(F.sequence(F.lit(0), F.expr("CAST((_n - 1) DIV capacity AS INT)"))))
-    return both.select(kind, "capacity", key, "piece_no", F.least(F.col("capacity").cast("long"), F.col("_n") - F.col("piece_no") * F.col("capacity")).alias("tokens"))
+    return both.select(kind, "capacity", key, "piece_no", F.least(F.col("capacity"), F.col("_n") - F.col("piece_no") * F.col("capacity")).alias("tokens"))
+
+
+def _blocks(segments: list[Segment], counts: dict[int, int]) -> list[tuple]:
+    """(bound, block, first, last, base, each): each segment once for every block of ranks that it touches.
+
+    A block of a bucket holds as many ranks as one of its segments on average and PART_ROWS at most, so a rank meets a few
+    segments only and no block is large."""
+    per: dict[int, list[Segment]] = {}
+    for x in segments:
+        per.setdefault(x.bound, []).append(x)
+    out = []
+    for bound, own in per.items():
+        size = _block_size(counts[bound], len(own))
+        out += [(bound, size, block, x.first, x.last, x.base, x.each) for x in own for block in range(x.first // size, (x.last - 1) // size + 1)]
+    return out
+
+
+def _block_size(rows: int, segments: int) -> int:
+    return max(1, min(PART_ROWS, -(-rows // segments)))
 
 
 def pack(items: DataFrame, containers: DataFrame, key: str, tokens: str = "tokens", kind: str = "container_kind", capacity: str = "capacity_tokens", buckets: int = BUCKETS) -> DataFrame:
     """(kind, container_id, key, piece_no, tokens): the container of each item or piece. containers is a small table of kinds."""
+    kind_type = containers.schema[kind].dataType.simpleString()
+    kinds = sorted(((r[0], int(r[1])) for r in containers.filter(F.col(capacity) > 0).select(kind, capacity).distinct().collect()), key=str)  # one row a kind
+    parts = [_pack(items, kinds[i : i + KINDS_AT_ONCE], kind_type, key, tokens, kind, buckets) for i in range(0, max(1, len(kinds)), KINDS_AT_ONCE)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _pack(items: DataFrame, kinds: list[tuple], kind_type: str, key: str, tokens: str, kind: str, buckets: int) -> DataFrame:
     spark = items.sparkSession
-    cut = pieces(items, containers, key, tokens, kind, capacity)
-    histogram = cut.groupBy(kind, "capacity", "tokens").agg(F.count(F.lit(1)).alias("n")).collect()  # at most the sum of the capacities
-    rows: list[tuple] = []
-    bound_of: list[tuple] = []
-    for name, cap in sorted({(r[kind], r["capacity"]) for r in histogram}, key=str):
-        own = sorted((r["tokens"], r["n"]) for r in histogram if r[kind] == name and r["capacity"] == cap)
+    grain = F.ceil(F.col("capacity") / GRAINS).cast("long")
+    # the length in grains, rounded up; what fills a container alone may be a little longer than whole grains
+    units = F.least(F.ceil(F.col("tokens") / grain), F.expr("capacity") / grain).cast("long")
+    cut = pieces(items, kinds, kind_type, key, tokens, kind).withColumn("units", units)
+    histogram: dict[tuple, list[tuple[int, int]]] = {}
+    for r in cut.groupBy(kind, "capacity", "units").agg(F.count(F.lit(1)).alias("n")).collect():  # at most GRAINS rows a kind
+        histogram.setdefault((r[kind], r["capacity"]), []).append((r["units"], r["n"]))
+    lookup, segments = [], []
+    for (name, cap), own in histogram.items():
+        own.sort()
         lengths, counts = np.array([x[0] for x in own]), np.array([x[1] for x in own])
         bounds = boundaries(lengths, counts, buckets)
         where = np.searchsorted(bounds, lengths, side="left")
         totals = np.bincount(where, weights=counts, minlength=len(bounds)).astype(np.int64)
-        bound_of += [(name, int(n), int(bounds[w])) for n, w in zip(lengths, where, strict=True)]
-        rows += [(name, s.bound, s.first, s.last, s.base, s.each) for s in plan(bounds, totals, int(cap))]
-    kind_type = containers.schema[kind].dataType.simpleString()
-    lookup = spark.createDataFrame(bound_of, f"{kind} {kind_type}, tokens long, bound long")
-    segments = spark.createDataFrame(rows, f"{kind} {kind_type}, bound long, first long, last long, base long, each long")
-    # both tables have at most the sum of the capacities as rows
-    marked = cut.join(F.broadcast(lookup), [kind, "tokens"]).withColumn("part", F.pmod(F.xxhash64(key, "piece_no"), F.lit(PARTS)))
-    sizes = marked.groupBy(kind, "bound", "part").agg(F.count(F.lit(1)).alias("n"))
-    before = W.Window.partitionBy(kind, "bound").orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1)
-    starts = sizes.select(kind, "bound", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = W.Window.partitionBy(kind, "bound", "part").orderBy(key, "piece_no")
-    ranked = marked.withColumn("r", F.row_number().over(inside) - 1).join(starts, [kind, "bound", "part"]).withColumn("rank", F.col("start") + F.col("r"))
-    placed = ranked.join(F.broadcast(segments), [kind, "bound"]).filter((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last")))
+        found = plan(bounds, totals, cap // -(-cap // GRAINS))
+        of = dict(zip(bounds.tolist(), totals.tolist(), strict=True))
+        blocks = _blocks(found, of)
+        size = {x[0]: x[1] for x in blocks}
+        lookup += [(name, cap, int(n), int(c), b, -(-of[b] // PART_ROWS), size[b]) for n, c, b in zip(lengths, counts, bounds[where].tolist(), strict=True)]
+        segments += [(name, cap, b, block, first, last, base, each) for b, _, block, first, last, base, each in blocks]
+    to_bound = spark.createDataFrame(lookup, f"`{kind}` {kind_type}, capacity long, units long, n long, bound long, parts long, size long").select(F.struct(kind, "capacity", "units").alias("_key"), "n", "bound", "parts", "size")
+    keyed = cut.withColumn("_key", F.struct(kind, "capacity", "units"))
+    marked = keyed.join(F.broadcast(to_bound), "_key") if len(lookup) <= BROADCAST_ROWS else join_counted(keyed, to_bound, "_key", "n", sum(x[3] for x in lookup))
+    bucket = [kind, "capacity", "bound"]
+    marked = marked.withColumn("part", F.pmod(F.xxhash64(key, "piece_no"), F.col("parts"))).drop("_key", "units", "n", "parts")
+    sizes = marked.groupBy(*bucket, "part").agg(F.count(F.lit(1)).alias("n"))
+    before = W.Window.partitionBy(*bucket).orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1)
+    starts = sizes.select(*bucket, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = W.Window.partitionBy(*bucket, "part").orderBy(key, "piece_no")
+    ranked = marked.withColumn("r", F.row_number().over(inside) - 1).join(starts, [*bucket, "part"]).withColumn("rank", F.col("start") + F.col("r")).withColumn("block", F.expr("rank DIV size"))
+    plans = spark.createDataFrame(segments, f"`{kind}` {kind_type}, capacity long, bound long, block long, first long, last long, base long, each long")
+    placed = ranked.join(F.broadcast(plans) if len(segments) <= BROADCAST_ROWS else plans, [*bucket, "block"]).filter((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last")))
     return placed.select(kind, (F.col("base") + F.expr("(rank - first) DIV each")).alias("container_id"), key, "piece_no", "tokens")
 
 

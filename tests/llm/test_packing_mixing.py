@@ -93,6 +93,29 @@ def budgets(spark, leaves, total):
     return {(r.domain, r.lang, r.source): r.budget for r in mixing.budgets(df, F.lit(float(total))).collect()}
 
 
+def test_large_capacities_and_many_kinds(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GRAINS", 64)
+    monkeypatch.setattr(packing, "KINDS_AT_ONCE", 1)
+    monkeypatch.setattr(packing, "PART_ROWS", 50)
+    r = random.Random(3)
+    items = [(i, r.choice([1000, 999, r.randrange(1, 2500)])) for i in range(1500)]
+    kinds = spark.createDataFrame([("a", 1000), ("b", 130)], "container_kind string, capacity_tokens int")
+    fill = defaultdict(int)
+    placed = defaultdict(int)
+    for x in packing.pack(spark.createDataFrame(items, "id int, tokens int"), kinds, "id").collect():
+        fill[x.container_kind, x.container_id] += x.tokens
+        placed[x.container_kind, x.id] += x.tokens
+    assert max(v for (k, _), v in fill.items() if k == "a") <= 1000 and max(v for (k, _), v in fill.items() if k == "b") <= 130
+    assert all(placed[k, i] == n for k in "ab" for i, n in items)
+
+
+def test_many_lengths_take_seconds():
+    lengths, counts = np.arange(1, 20_001), np.random.default_rng(1).integers(1, 1000, 20_000)
+    bounds = packing.boundaries(lengths, counts, 64)
+    even = np.linspace(0, 20_000, 65).astype(int)[1:]
+    assert len(bounds) == 64 and bounds[-1] == 20_000 and padding(bounds, lengths, counts) <= padding(even, lengths, counts)
+
+
 def test_shortage_goes_to_siblings_first(spark):
     leaf = lambda s, d, l, w, n: {"source": s, "domain": d, "lang": l, "weight": w, "limit": n}  # noqa: E731, E741
     got = {k[2]: v for k, v in budgets(spark, [leaf("a", "x", "en", 0.25, 10), leaf("b", "x", "en", 0.25, 1000), leaf("c", "x", "de", 0.25, 1000), leaf("d", "y", "en", 0.25, 1000)], 400).items()}
