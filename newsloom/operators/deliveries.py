@@ -35,6 +35,15 @@ def _repeated(df: DataFrame, key: str, order: str) -> tuple[DataFrame, int]:
     return kept, int(kept.agg(F.sum(COUNT)).first()[0] or 0)
 
 
+def _once(keyed: DataFrame, repeated: DataFrame, total: int) -> DataFrame:
+    """The rows whose identifier stands once or is missing. Hot identifiers are dropped where they are read, and rows without
+    one never go through a join, so what is shuffled is spread evenly."""
+    if not total:
+        return keyed
+    named, unnamed = keyed.filter(F.col(KEY).isNotNull()), keyed.filter(F.col(KEY).isNull())
+    return join_counted(named, repeated, KEY, COUNT, total, "left_anti").unionByName(unnamed)
+
+
 def keep_one(stored: DataFrame, new: DataFrame | None = None, key: str = "msg_id", order: str = "delivery_id", fill: tuple[str, ...] = ()) -> DataFrame:
     """All stored and new rows with exactly one row per identifier: the one with the smallest `order`.
 
@@ -48,7 +57,7 @@ def keep_one(stored: DataFrame, new: DataFrame | None = None, key: str = "msg_id
     rank = F.struct(F.col(ORDER).isNull(), ORDER, F.xxhash64(ROW))
     filled = [F.min_by(field(c), F.when(F.trim(field(c).cast("string")) != "", rank)).alias(f"_nl_fill_{i}") for i, c in enumerate(fill)]
     ranked = join_counted(keyed, repeated, KEY, COUNT, total).groupBy(KEY).agg(F.min_by(ROW, rank).alias(ROW), *filled)
-    singles = (keyed.join(repeated.select(KEY), KEY, "left_anti") if total else keyed).select(KEY, ROW, *(field(c).alias(f"_nl_fill_{i}") for i, c in enumerate(fill)))
+    singles = _once(keyed, repeated, total).select(KEY, ROW, *(field(c).alias(f"_nl_fill_{i}") for i, c in enumerate(fill)))
     out = []
     for c in df.columns:
         own = field(c)

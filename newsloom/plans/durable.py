@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A key is hot when it holds more than one row in HOT_PARTS; so at most HOT_PARTS keys can be hot.
@@ -47,13 +47,17 @@ def hot_threshold(total: int, parts: int = HOT_PARTS) -> int:
     return max(1, total // parts)
 
 
-def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count_col: str, total: int, how: str = "inner", on: Column | None = None) -> DataFrame:
-    """rows joined with keyed, which has one row per key and the number of rows of the key in count_col.
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str | list[str], count_col: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined with keyed, which has one row per key and the number of rows of the key (or a bound on it) in count_col.
 
     Hot keys (at most HOT_PARTS by arithmetic, so that bound is proven) are broadcast and never shuffled; all other keys
-    are joined by a shuffle in which no key holds more than 1/HOT_PARTS of the rows.
+    are joined by a shuffle in which no key holds more than 1/HOT_PARTS of the rows. A left anti join keeps the rows without a
+    key in keyed, of which no more than one in HOT_PARTS may be alike.
     """
     edge = hot_threshold(total)
     hot, cold = keyed.filter(F.col(count_col) > edge), keyed.filter(F.col(count_col) <= edge)
-    names = F.broadcast(hot.select(key))
-    return rows.join(F.broadcast(hot), key, how).unionByName(rows.join(names, key, "left_anti").join(cold, key, how))
+    names = F.broadcast(hot.select(*([key] if isinstance(key, str) else key)))
+    rest = rows.join(names, key, "left_anti")
+    if how == "left_anti":
+        return rest.join(cold, key, how)
+    return rows.join(F.broadcast(hot), key, how).unionByName(rest.join(cold, key, how))
