@@ -20,7 +20,7 @@ whatever their length; messages of unknown source count as no source; an empty t
 
 from __future__ import annotations
 
-import re
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,18 +120,20 @@ _WIDE_PLACE = "(?i)" + "|".join((*PLACEHOLDERS, *WIDE_PLACES))
 _SIGNS = r"[{\[<%$#@*«_]"
 _ALL_VALUES = (*FAILED, *FILLER)
 # rules that are tied to the start of a line are tried at one place only; the others have one of these words in every match
-_AT_START = "(?i)" + "|".join(x for x in _ALL_VALUES if x.startswith("^"))
+_LEAD = r"^\W*"
+_AT_START = "(?i)" + "|".join((f"{_LEAD}(?:{'|'.join(x.removeprefix(_LEAD) for x in _ALL_VALUES if x.startswith(_LEAD))})", *(x for x in _ALL_VALUES if x.startswith("^") and not x.startswith(_LEAD))))
 _ANYWHERE = "(?i)" + "|".join(x for x in _ALL_VALUES if not x.startswith("^"))
 _HINTS = ("undefined", "null", "nan", "none", "object", "tk", "xxx", "tbd", "todo", "lorem", "headline (", "placeholder")
 _SURE = "^\\W{0,4}(?:" + "|".join(SURE) + ")"
 _GENERAL = "^\\W{0,4}(?:" + "|".join(GENERAL) + ")"
-_LATIN = rf"\b(?:{'|'.join(LATIN.split())})\b"
+# by first letters, so that few branches are tried at a word
+_LATIN = rf"\b(?:{'|'.join(f'{c}(?:{chr(124).join(w[1:] for w in group)})' for c, group in groupby(sorted(LATIN.split()), lambda w: w[0]))})\b"
 
 
 def plain(line: Column) -> Column:
     """A line without what stands in code quotes and with its blanks collapsed."""
     shown = F.when(F.contains(line, F.lit("`")), F.regexp_replace(line, CODE_QUOTED, "`")).otherwise(line)
-    return F.trim(F.regexp_replace(shown, r"\s+", " "))
+    return F.trim(F.regexp_replace(shown, r"\s{2,}|[^\S ]", " "))  # single blanks need no replacement
 
 
 def masked(flat: Column) -> Column:
