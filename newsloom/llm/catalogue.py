@@ -27,7 +27,9 @@ def p2_restored(spark: SparkSession, at: str) -> DataFrame:
     parts = []
     for x in fields(spark, at):
         fixed = encodings.with_restored(x.filter(F.col("text").rlike(encodings.SUSPECT)), "text").filter("state <> 'clean' AND msg_id IS NOT NULL")
-        parts.append(fixed.groupBy("msg_id", "field_name").agg(F.min(F.struct("state", "fixed")).alias("r")).select("msg_id", "field_name", "r.state", "r.fixed"))
+        # of several deliveries the one that could be restored counts, not one that had lost characters
+        best = F.min(F.struct((F.col("state") != "restored").alias("worse"), "state", "fixed"))
+        parts.append(fixed.groupBy("msg_id", "field_name").agg(best.alias("r")).select("msg_id", "field_name", "r.state", "r.fixed"))
     return parts[0].unionByName(parts[1])
 
 
@@ -52,18 +54,19 @@ def p3_clean(spark: SparkSession, at: str) -> DataFrame:
     return table(spark, at, "full_message").select(canonical_id("msg_id").alias("msg_id"), F.length("body").alias("n_chars")).join(bad, "msg_id", "left_anti")
 
 
-def sourced_bodies(spark: SparkSession, at: str) -> DataFrame:
-    """(msg_id, source, body) of the messages with a body; messages without a summary have no source and are left out."""
-    bodies = table(spark, at, "full_message").select(canonical_id("msg_id").alias("msg_id"), "body").filter(F.length("body") > 0)
-    return bodies.join(senders(spark, at), "msg_id")
+def bodies_with_text(spark: SparkSession, at: str) -> DataFrame:
+    return table(spark, at, "full_message").select(canonical_id("msg_id").alias("msg_id"), "body").filter(F.length("body") > 0)
 
 
 def p6_found(spark: SparkSession, at: str) -> DataFrame:
-    return boilerplate.found_lines(sourced_bodies(spark, at), "msg_id", "source", "body").select("msg_id", F.col("line_no").cast("int").alias("line_no"))
+    found = boilerplate.found_lines(bodies_with_text(spark, at), "msg_id", "source", "body", sources=senders(spark, at))
+    return found.select("msg_id", F.col("line_no").cast("int").alias("line_no"))
 
 
 def p6_clean(spark: SparkSession, at: str) -> DataFrame:
-    return boilerplate.without_lines(sourced_bodies(spark, at), "msg_id", "source", "body").select("msg_id", F.sha2("clean", 256).alias("clean_hash"), F.length("clean").alias("n_chars"))
+    """The bodies without their repeated lines; those without a summary have no source and stay as they are."""
+    clean = boilerplate.without_lines(bodies_with_text(spark, at), "msg_id", "source", "body", sources=senders(spark, at))
+    return clean.select("msg_id", F.sha2("clean", 256).alias("clean_hash"), F.length("clean").cast("long").alias("n_chars"))
 
 
 def p1_linked(spark: SparkSession, at: str) -> DataFrame:
@@ -119,7 +122,12 @@ def p9_profile(spark: SparkSession, at: str) -> DataFrame:
     return graded.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.round(F.avg("level"), 3).alias("mean_level"), F.count_if(F.col("level") >= readability.DEMANDING).alias("demanding"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_linked": p1_linked, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_mixed": p8_mixed, "p8_shares": p8_shares, "p8_leaves": p8_leaves, "p9_found": p9_found, "p9_levels": p9_levels, "p9_profile": p9_profile}
+def p9_held_out(spark: SparkSession, at: str) -> DataFrame:
+    """How well grades meet the labels of sources that neither the trees nor their calibration have seen, by source."""
+    return readability.held_out(table(spark, at, "documents"), table(spark, at, "reading_labels"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_linked": p1_linked, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_residue": p3_residue, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_mixed": p8_mixed, "p8_shares": p8_shares, "p8_leaves": p8_leaves, "p9_found": p9_found, "p9_levels": p9_levels, "p9_profile": p9_profile, "p9_held_out": p9_held_out}
 
 _SENDERS = r"""(SELECT lower(regexp_replace(msg_id, '\s+', '', 'g')) AS msg_id,
     min(regexp_replace(lower(trim(CASE WHEN regexp_extract(from_h, '<([^<>]*)>\s*$', 1) <> '' THEN regexp_extract(from_h, '<([^<>]*)>\s*$', 1) ELSE from_h END)), '\+[^@]*@', '@')) AS source
@@ -129,5 +137,11 @@ _LINES = rf"""bodies AS (SELECT f.msg_id, s.source, f.body FROM full_message f J
     lines AS (SELECT msg_id, source, unnest(string_split(body, chr(10))) AS line, unnest(range(len(string_split(body, chr(10))))) AS line_no FROM bodies),
     norm AS (SELECT msg_id, source, line_no, lower(regexp_replace(trim(regexp_replace(line, '[ \t\r]+', ' ', 'g')), '[0-9]+', '0', 'g')) AS line FROM lines WHERE regexp_matches(line, '\p{{L}}')),
     hits AS (SELECT source, line FROM norm JOIN sizes USING (source) GROUP BY source, line, docs HAVING count(DISTINCT msg_id) >= 5 AND count(DISTINCT msg_id) >= 0.2 * docs)"""
-ORACLE: dict[str, str] = {"p6_found": f"WITH {_LINES} SELECT msg_id, CAST(line_no AS INT) AS line_no FROM norm SEMI JOIN hits USING (source, line)"}
+ORACLE: dict[str, str] = {
+    "p6_found": f"WITH {_LINES} SELECT msg_id, CAST(line_no AS INT) AS line_no FROM norm SEMI JOIN hits USING (source, line)",
+    "p6_clean": f"""WITH {_LINES}, gone AS (SELECT msg_id, list(line_no) AS g FROM norm SEMI JOIN hits USING (source, line) GROUP BY msg_id),
+        kept AS (SELECT f.msg_id, CASE WHEN g IS NULL THEN body ELSE coalesce(array_to_string(list_transform(list_filter(range(len(string_split(body, chr(10)))), lambda i: NOT list_contains(g, i)), lambda i: string_split(body, chr(10))[i + 1]), chr(10)), '') END AS clean
+            FROM full_message f LEFT JOIN gone USING (msg_id) WHERE length(body) > 0)
+        SELECT msg_id, sha256(clean) AS clean_hash, CAST(length(clean) AS BIGINT) AS n_chars FROM kept""",
+}
 

@@ -60,3 +60,10 @@ def test_long_documents_are_counted_exactly(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "id string, source string, text string")
     assert B.found_lines(df, "id", "source", "text").count() == 0 and B.without_lines(df, "id", "source", "text").count() == 0
+
+
+def test_sources_beside_and_hot_keys_split(spark, monkeypatch):
+    monkeypatch.setattr(B, "BROADCAST_ROWS", 0)
+    data = docs()
+    texts, who = spark.createDataFrame([(k, t) for k, _, t in data], "id string, text string"), spark.createDataFrame([(k, s) for k, s, _ in data], "id string, source string")
+    assert {(r.id, r.line_no) for r in B.found_lines(texts, "id", "source", "text", sources=who).collect()} == brute(data)
