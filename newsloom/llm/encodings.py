@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from functools import lru_cache
+from itertools import count
 
 import ahocorasick
 import pandas as pd
@@ -34,10 +35,12 @@ WRONG = ("cp1252", "latin-1", "mac_roman", "cp437", "cp1251", "iso8859-2", "cp12
 REPERTOIRE = ((0xA0, 0x24F), (0x2B0, 0x2FF), (0x370, 0x4FF), (0x2000, 0x206F), (0x20A0, 0x20CF), (0x2100, 0x22FF), (0x2460, 0x27BF), (0xFB00, 0xFB06), (0xFE0E, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFFD, 0xFFFD), (0x1F300, 0x1FAFF))
 #: Control characters appear within text that was garbled twice: those that the first wrong reading had left.
 CONTROLS = {"latin-1": ((0x80, 0x9F),), "cp1252": ((0x81, 0x81), (0x8D, 0x8D), (0x8F, 0x90), (0x9D, 0x9D))}
-#: Kana and Han, whose garbled forms are computed for the likeliest encodings only.
-EAST_ASIAN, EAST_ASIAN_WRONG = ((0x3000, 0x30FF), (0x4E00, 0x9FFF)), ("cp1252", "latin-1")
-#: Texts are garbled at most so often in a row.
-MAX_PASSES = 4
+#: Hebrew and Arabic, two characters when garbled, which may stand side by side in correct text too: one alone is no sign.
+PAIRED = ((0x590, 0x6FF),)
+#: Scripts of India, Thai and Lao: three characters when garbled.
+BRAHMIC = ((0x900, 0xEFF),)
+#: Kana, Han and Hangul, whose garbled forms are computed for the likeliest encodings only.
+EAST_ASIAN, EAST_ASIAN_WRONG = ((0x3000, 0x30FF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3)), ("cp1252", "latin-1")
 
 NON_ASCII = re.compile(r"[^\x00-\x7f]+")
 LOST = "�"
@@ -76,11 +79,11 @@ def automaton() -> tuple[ahocorasick.Automaton, list[tuple[int, list[tuple[str,
     readings: dict[str, list[tuple[str, str, bool]]] = {}
     for encoding in WRONG:
         chars = _table(encoding)
-        for low, high in REPERTOIRE + CONTROLS.get(encoding, ()) + EAST_ASIAN * (encoding in EAST_ASIAN_WRONG):
+        for low, high in REPERTOIRE + CONTROLS.get(encoding, ()) + PAIRED + BRAHMIC + EAST_ASIAN * (encoding in EAST_ASIAN_WRONG):
             for code in range(low, high + 1):
                 c = chr(code)
                 garbled = "".join(chars[b] for b in c.encode("utf-8"))
-                readings.setdefault(garbled, []).append((encoding, c, _is_weak(garbled, encoding)))
+                readings.setdefault(garbled, []).append((encoding, c, (low, high) in PAIRED or _is_weak(garbled, encoding)))
     for b in range(0x80, 0xA0):  # Western Windows text read as Latin-1 keeps one control character for each of these
         c = _table("cp1252")[b]
         if c != chr(b):
@@ -191,7 +194,7 @@ def restore(text: str | None) -> tuple[str | None, str]:
     if not text or text.isascii():
         return text, "clean"
     out, state = text, "clean"
-    for n in range(MAX_PASSES):
+    for n in count():  # every pass makes the text shorter or takes control characters away, so it ends
         own, words = spans(out), western_cyrillic(out) if n == 0 else []  # what has just been restored is no garbled Cyrillic
         if not own and not words:
             break

@@ -9,8 +9,9 @@ labelled documents); raters who differ are averaged. Predictions are calibrated
 cross-validated predictions whose folds never split a source, so that the grades hold for sources never seen. Training is
 deterministic.
 
-Defined results: null, empty and wordless texts have no level; texts of any length are read whole; equal texts get equal
-levels; without labels nothing can be trained and every level is null.
+Defined results: null and empty texts and those of fewer than LEAST_WORDS words have no level; a text of shorter pieces only is
+read as one sentence; texts of any length are read whole; equal texts get equal levels; without labels nothing can be trained
+and every level is null.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from math import log1p
 from operator import mul
 
@@ -81,7 +82,10 @@ def features_of(text: str | None) -> list[float] | None:
     coordinate = subordinate = commas = semicolons = very = overlap = 0
     seen: set[str] = set()
     last: set[str] = set()
-    for piece in plain.split("\n"):
+    pieces = plain.split("\n")
+    if not any(len(p.split()) >= LEAST_WORDS for p in pieces):
+        pieces = [" ".join(pieces)]  # nothing but short pieces: one sentence
+    for piece in pieces:
         words = piece.split()
         n = len(words)
         if n < LEAST_WORDS:
@@ -199,6 +203,7 @@ class Grader:
     rows: int
     error: float
     agreement: float
+    held: list[tuple[str, float, float]] = field(default_factory=list)  # source, label and held-out grade of each row
 
     def grade(self, x: np.ndarray) -> np.ndarray:
         return np.clip(np.interp(self.forest.predict(x), *self.points), 1.0, 5.0)
@@ -216,9 +221,14 @@ def fit(x: np.ndarray, y: np.ndarray, source: np.ndarray) -> Grader:
     for f in range(FOLDS):
         out = fold == f
         held[out] = train(x[~out], y[~out]).predict(x[out]) if out.any() and (~out).any() else y.mean()
-    points = isotonic(held, y)
-    graded = np.interp(held, *points)
-    return Grader(train(x, y), points, len(y), float(np.abs(graded - y).mean()), float(((graded >= DEMANDING) == (y >= DEMANDING)).mean()))
+    # what is measured on a fold is calibrated on the others only
+    graded = np.full(len(y), y.mean())
+    for f in range(FOLDS):
+        out = fold == f
+        if out.any() and (~out).any():
+            graded[out] = np.clip(np.interp(held[out], *isotonic(held[~out], y[~out])), 1.0, 5.0)
+    rows = list(zip(source.astype(str).tolist(), y.tolist(), graded.tolist(), strict=True))
+    return Grader(train(x, y), isotonic(held, y), len(y), float(np.abs(graded - y).mean()), float(((graded >= DEMANDING) == (y >= DEMANDING)).mean()), rows)
 
 
 # ---- Spark
@@ -250,7 +260,7 @@ def graded(features: DataFrame, grader: Grader | None, key: str = "doc_id") -> D
     kind = features.schema["key"].dataType.simpleString()
     if grader is None:
         return features.select(F.col("key").alias(key), "source", F.lit(None).cast("double").alias("level"))
-    shared = features.sparkSession.sparkContext.broadcast(grader)  # TREES * 2**DEPTH numbers
+    shared = features.sparkSession.sparkContext.broadcast(replace(grader, held=[]))  # TREES * 2**DEPTH numbers
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -263,3 +273,13 @@ def graded(features: DataFrame, grader: Grader | None, key: str = "doc_id") -> D
 def levels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     features = with_features(docs, key, text, source)
     return graded(features, fit_labels(features, labels), key)
+
+
+def held_out(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """(source, labelled, mean_label, mean_level, error, agreement): grades against labels by source, each source graded by trees
+    and a calibration that have not seen it. Over the training sample, so at most TRAIN_ROWS rows."""
+    grader = fit_labels(with_features(docs, key, text, source), labels, key)
+    rows = docs.sparkSession.createDataFrame(grader.held if grader else [], "source string, label double, level double")
+    agree = (F.col("level") >= DEMANDING) == (F.col("label") >= DEMANDING)
+    mean = lambda c, name: F.round(F.avg(c), 4).alias(name)
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("labelled"), mean("label", "mean_label"), mean("level", "mean_level"), mean(F.abs(F.col("level") - F.col("label")), "error"), mean(agree.cast("int"), "agreement"))

@@ -56,6 +56,26 @@ def test_round_trip(before, middle, after):
     assert E.restore(before + garbled + after)[0] == before + middle + after
 
 
+@pytest.mark.parametrize("word", ["السلام عليكم", "שלום עולם", "नमस्ते दुनिया", "สวัสดีชาวโลก", "안녕하세요"])
+@pytest.mark.parametrize("wrong", ["cp1252", "latin-1"])
+def test_other_scripts(word, wrong):
+    table = E._table(wrong)
+    garbled = "".join(table[b] for b in word.encode("utf-8"))
+    assert E.is_garbled(garbled) and E.restore(garbled) == (word, "restored") and not E.is_garbled(word)
+
+
+@pytest.mark.parametrize("text", ["3 ×\u00a05 cm", "«Ø»", "SØ\u00a0ny", "Ö\u00a0und Ü", "Ù", "5 ×‘x’"])
+def test_neighbours_in_correct_text(text):
+    assert not E.is_garbled(text)
+
+
+def test_garbled_many_times():
+    table, text = E._table("latin-1"), "café"
+    for _ in range(7):
+        text = "".join(table[b] for b in text.encode("utf-8"))
+    assert E.restore(text) == ("café", "restored")
+
+
 def test_columns(spark):
     df = spark.createDataFrame([(1, "RÃ©sumÃ©", 7), (2, None, 7), (3, "", 7), (4, "é", 7), (5, "x" * 200_000 + "Ã©", 7)], "id int, t string, state_ int")
     assert sorted(r.id for r in E.garbled_rows(df, "t").collect()) == [1, 5]

@@ -109,6 +109,17 @@ def test_stray_sentence_and_copies():
     assert R.features_of(easy * 400) is not None
 
 
+def test_short_pieces_only():
+    assert R.features_of("Buy now\nget one\nfor less") is not None and R.features_of("two words") is None
+
+
+def test_agreement_is_cross_fitted():
+    r = np.random.default_rng(5)
+    x, y = r.random((400, len(R.NAMES))), r.integers(1, 6, 400).astype(float)  # nothing to learn
+    g = R.fit(x, y, np.array([f"s{i % 20}" for i in range(400)]))
+    assert g.error > 1.1 and len(g.held) == 400
+
+
 def test_isotonic():
     x, y = R.isotonic(np.array([1.0, 2, 3, 4]), np.array([1.0, 3, 2, 4]))
     assert list(y) == [1, 2.5, 4] and list(x) == [1, 2.5, 4]
