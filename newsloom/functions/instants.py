@@ -4,8 +4,8 @@ A text is reduced to its shape mask (digits to 9, letters to a, AM and PM to pp,
 to a parser once; a mask fixes the place of every field, so all texts of a mask are converted together as arrays, wall
 times through the zone transition tables of newsloom.functions.zones.
 
-Defined results: null for texts that are null, empty, of an unknown shape or too long, for impossible dates and times, for
-wall times that the zone's clocks show twice or never, for unknown zones, and for a weekday that contradicts the date where
+Defined results: null for texts that are null, empty or of an unknown shape, for impossible dates and times, for wall times
+that the zone's clocks show twice or never, for unknown zones, and for a weekday that contradicts the date where
 no offset is stated. What a text leaves out is zero; beyond microseconds digits are cut off.
 """
 
@@ -24,8 +24,8 @@ from newsloom.functions import zones
 
 #: Wall times without any zone belong here.
 DEFAULT_ZONE = "America/New_York"
-#: No timestamp is longer; a longer text has no defined instant.
-MAX_CHARS = 80
+#: The parsers of shorter masks are kept; longer ones, which hardly recur, are found anew.
+KEPT_CHARS = 200
 
 # Month and weekday names in English, German, French and Spanish (the first three letters or more, lower case).
 MONTHS = {
@@ -60,7 +60,7 @@ NAMED_ZONES = {"et": "america/new_york", "pt": "america/los_angeles", "ct": "ame
 CLOCK = r"(?P<H>9{1,2}):(?P<M>99)(?::(?P<S>99)(?P<f>[.,]9{1,9})?)?"
 OFFSET = r"(?P<off>[+-]99(?::?99)?)"
 ZONE = r"(?P<zone>a+(?:[/_+-][a9_]+)*)"
-TAIL = rf"(?: ?{OFFSET})?(?: ?{ZONE})?(?: ?[(\[](?P<note>a[a9/_ +-]*)[)\]])?"
+TAIL = rf"(?: ?{OFFSET})?(?: ?{ZONE})?(?: ?[(\[](?P<note>a[a9/_ +-]*)[)\]])?(?P<comment>(?: ?\([^()]*\))*)"
 #: Masks of the accepted forms. m or mon is the month, ap the half of the day, w1 and w2 are words whose value is fixed.
 FORMS = [
     re.compile(p + r"\Z")
@@ -79,10 +79,13 @@ UNITS = [(11, 1_000_000, 1), (14, 1_000, 1), (17, 1, 1), (19, 1, 1_000)]
 FILLERS = {"w1": {"de"}, "w2": {"de"}, "at": {"at", "um", "à", "a"}, "t": {"t"}}
 
 
+_MARK = "\ue000"  # in place of each letter of AM and PM
+
+
 class _Classes(dict):
     def __missing__(self, code: int) -> str:
         c = chr(code)
-        self[code] = out = "a" if c.isalpha() else "?" if c.isdigit() or c in "9a" else c
+        self[code] = out = "p" if c == _MARK else "a" if c.isalpha() else "?" if c.isdigit() or c in "9a" else c
         return out
 
 
@@ -94,14 +97,14 @@ HALF = re.compile(r"\b[ap]m\b", re.IGNORECASE)
 
 def mask_of(text: str) -> str:
     """The shape of a text; the halves of the day keep a class of their own, pp."""
-    mask = text.translate(CLASSES)
-    for m in HALF.finditer(text):
-        mask = f"{mask[: m.start()]}pp{mask[m.end() :]}"
-    return mask
+    return HALF.sub(_MARK * 2, text).translate(CLASSES)
 
 
-@lru_cache(maxsize=4096)
 def spans_of(mask: str) -> dict[str, tuple[int, int]] | None:
+    return _kept_spans(mask) if len(mask) <= KEPT_CHARS else _find_spans(mask)
+
+
+def _find_spans(mask: str) -> dict[str, tuple[int, int]] | None:
     """The place of each field in texts of this mask, or None if the mask is of no known form."""
     if mask and not mask.strip("9"):
         return {"digits": (0, len(mask))} if len(mask) <= 19 else None
@@ -111,6 +114,9 @@ def spans_of(mask: str) -> dict[str, tuple[int, int]] | None:
     return None
 
 
+_kept_spans = lru_cache(maxsize=4096)(_find_spans)
+
+
 def _numbers(chars: np.ndarray, span: tuple[int, int]) -> np.ndarray:
     out = np.zeros(len(chars), dtype=np.int64)
     for i in range(*span):
@@ -152,6 +158,8 @@ def convert(texts: np.ndarray, spans: dict[str, tuple[int, int]], tables: dict[s
         good = value <= 2**62
         return np.where(good, value, 0) // over * times, good
     good = np.ones(n, dtype=bool)
+    if "comment" in spans and spans["comment"][0] < spans["comment"][1] and not ("off" in spans or "zone" in spans):
+        return np.zeros(n, dtype=np.int64), ~good  # a comment that may name the zone
     for k, allowed in FILLERS.items():
         if k in spans:
             good &= _words(texts, spans[k], lambda w, a=allowed: w in a).astype(bool)
@@ -207,8 +215,8 @@ def parse_texts(texts: pd.Series, tables: dict[str, zones.ZoneTable]) -> pd.Seri
     known = texts.dropna()
     if known.empty:
         return out
-    clean = known.map(lambda t: " ".join(t.split()) if len(t) <= 4 * MAX_CHARS else "")
-    clean = clean[(clean.str.len() > 0) & (clean.str.len() <= MAX_CHARS)]
+    clean = known.map(lambda t: " ".join(t.split()))
+    clean = clean[clean.str.len() > 0]
     for mask, own in clean.groupby(clean.map(mask_of), sort=False):
         if (spans := spans_of(mask)) is not None:
             value, good = convert(own.to_numpy(dtype=object), spans, tables)

@@ -69,3 +69,27 @@ def test_weekdays_of_four_languages_and_unknown_ones():
     assert parse("Montag, 6. Januar 2025, 10:00:00 +0100", "lundi, 6 janvier 2025 10:00 +0100", "lunes, 6 de enero de 2025 10:00 +0100", "Ponedeljek, 6 Jan 2025 10:00 +0100") == [at] * 4
     assert parse("Montag, 6. Januar 2025, 09:00 UTC", "lundi, 6 janvier 2025 09:00 UTC", "lunes, 6 de enero de 2025 09:00 UTC") == [at] * 3
     assert parse("Dienstag, 6. Januar 2025, 09:00 UTC", "Ponedeljek, 6 Jan 2025 09:00 UTC") == [None, None]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.datetimes(datetime(2045, 1, 1), datetime(2600, 1, 1)), st.sampled_from(["America/New_York", "Europe/Berlin", "Australia/Lord_Howe", "Asia/Kathmandu", "America/Santiago", "Africa/Cairo"]))
+def test_wall_times_after_the_tables(wall, zone):
+    wall = wall.replace(microsecond=0)
+    z = ZoneInfo(zone)
+    found = {int((wall.replace(tzinfo=z, fold=f)).timestamp()) for f in (0, 1)}
+    exact = [u for u in found if datetime.fromtimestamp(u, z).replace(tzinfo=None) == wall]
+    assert parse(f"{wall:%Y-%m-%d %H:%M:%S} {zone}") == [exact[0] * 1_000_000 if len(exact) == 1 else None]
+
+
+def test_zones_without_a_rule_have_no_later_instants():
+    assert not TABLES["africa/casablanca"][2] and TABLES["europe/berlin"][2] and TABLES["asia/tokyo"][2]
+    assert parse("2070-07-06 12:00 Africa/Casablanca", "2030-07-06 12:00 Africa/Casablanca")[0] is None
+    assert parse("2060-07-06 12:00 Europe/Berlin") == [us(2060, 7, 6, 10)]
+
+
+def test_long_texts_and_comments():
+    at = us(2025, 1, 8, 11, 47, 3)
+    long = "Wed, 08 Jan 2025 03:47:03 -0800"
+    assert parse(f"{long} (a comment, of sixty characters or so; it says nothing at all)", f"{long} (x) (y.z: 9)", f"{long}{' ' * 900}({'very ' * 500}long)", f"{' ' * 5000}{long}") == [at] * 4
+    assert parse("Wed, 08 Jan 2025 03:47:03 (see below, please)", "Wed, 08 Jan 2025 03:47:03 EST (see below, please)") == [None, us(2025, 1, 8, 8, 47, 3)]
+    assert parse("1/11/2025 5:51:06 aM", "am " * 50_000) == [us(2025, 1, 11, 10, 51, 6), None]
