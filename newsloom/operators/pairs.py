@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from newsloom.functions.text import jaccard, token_set
 from newsloom.plans.durable import durable, join_counted
 
-#: Rows of a block of query vectors.
-QUERY_BLOCK = 4096
+#: Bytes of the query vectors that go over the rows at once; queries of one matrix product.
+QUERY_BYTES, QUERY_BLOCK = 64 << 20, 4096
 
 
 def classes(items: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -21,25 +21,29 @@ def classes(items: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame
     class, named by its smallest key, so copies are never paired with each other."""
     sets = items.select(key, token_set(F.col(text)).alias("tokens")).filter(F.size("tokens") > 0)
     named = durable(sets.groupBy("tokens").agg(F.min(key).alias("class_id"), F.count(F.lit(1)).alias("n")))
-    return named.select("class_id", "tokens"), sets.join(named.select("tokens", "class_id"), "tokens").select(key, "class_id")
+    total = named.agg(F.sum("n")).first()[0] or 0
+    return named.select("class_id", "tokens"), join_counted(sets, named, "tokens", "n", total).select(key, "class_id")
 
 
 def jaccard_pairs(sets: DataFrame, threshold: float, key: str = "class_id", tokens: str = "tokens") -> DataFrame:
     """(a, b, similarity), a < b: all pairs with at least the threshold.
 
     Tokens are ordered from rare to common. Two sets of that similarity share one of their first n - ceil(t*n) + 1 tokens, so
-    only those are joined, with the filters on size and on the position of the shared token in the join itself.
+    only those are joined. The larger set goes to each size that the smaller one may have, so that the join is on token and
+    size, with the filter on the position of the shared token in the join itself: a common token is split by sizes.
     """
     exploded = sets.select(key, F.size(tokens).alias("n"), F.explode(tokens).alias("token"))
-    df = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = exploded.join(df, "token").groupBy(key, "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o"))
+    df = durable(exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+    total = df.agg(F.sum("df")).first()[0] or 0
+    ranked = join_counted(exploded, df, "token", "df", total).groupBy(key, "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o"))
     kept = ranked.withColumn("p", (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int"))
     prefix = durable(kept.select(key, "n", F.posexplode(F.expr("slice(o, 1, p)")).alias("i", "x")).select(key, "n", "i", F.col("x.token").alias("token")))
-    a, b = prefix.alias("a"), prefix.alias("b")
+    a, b = prefix.alias("a"), prefix.withColumn("m", F.explode(F.sequence(F.ceil(F.col("n") * threshold - 1e-9).cast("int"), F.col("n")))).alias("b")
     least = F.ceil((F.col("a.n") + F.col("b.n")) * (threshold / (1 + threshold)) - 1e-9)
     after = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))  # tokens from the shared one on
-    near = (F.col("a.n") >= F.col("b.n") * threshold - 1e-9) & (F.col("b.n") >= F.col("a.n") * threshold - 1e-9) & (after >= least - F.least("a.i", "b.i"))
-    found = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col(f"a.{key}") < F.col(f"b.{key}")) & near).select(F.col(f"a.{key}").alias("a"), F.col(f"b.{key}").alias("b")).distinct()
+    one, two = F.col(f"a.{key}"), F.col(f"b.{key}")
+    near = ((F.col("a.n") < F.col("b.n")) | (one < two)) & (after >= least - F.least("a.i", "b.i"))
+    found = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.n") == F.col("b.m")) & near).select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
     left, right = sets.select(F.col(key).alias("a"), F.col(tokens).alias("ta")), sets.select(F.col(key).alias("b"), F.col(tokens).alias("tb"))
     return found.join(left, "a").join(right, "b").withColumn("similarity", jaccard(F.col("ta"), F.col("tb"))).filter(F.col("similarity") >= threshold - 1e-9).select("a", "b", "similarity")
 
@@ -88,16 +92,17 @@ def _to_smallest(edges: DataFrame, larger_only: bool) -> DataFrame:
 def cosine_neighbours(rows: DataFrame, queries: DataFrame, threshold: float, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, key, cosine) of all rows at or above the threshold for a stated set of queries, exactly.
 
-    The queries go over the rows in blocks of QUERY_BLOCK vectors, one matrix product a batch. Rows without a vector or of
-    length zero have no cosine. A row is no neighbour of itself.
+    The queries go over the rows in blocks of QUERY_BYTES, a bound on what is broadcast at once, in matrix products of
+    QUERY_BLOCK vectors. Rows without a vector or of length zero have no cosine. A row is no neighbour of itself.
     """
     spark = rows.sparkSession
     numbered = queries.select(F.col(key).alias("q"), F.col(vector).alias("v")).filter(F.col(vector).isNotNull())
-    blocks = max(1, -(-numbered.count() // QUERY_BLOCK))
+    count, width = numbered.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    blocks = max(1, -(-count * 8 * (width or 1) // QUERY_BYTES))
     kind = rows.schema[key].dataType.simpleString()
     parts = []
     for i in range(blocks):
-        own = numbered.filter(F.pmod(F.xxhash64("q"), F.lit(blocks)) == i).toPandas()  # about QUERY_BLOCK vectors
+        own = numbered.filter(F.pmod(F.xxhash64("q"), F.lit(blocks)) == i).toPandas()  # about QUERY_BYTES
         if own.empty:
             continue
         m = np.array(own["v"].tolist(), dtype=float)
@@ -109,10 +114,14 @@ def cosine_neighbours(rows: DataFrame, queries: DataFrame, threshold: float, key
             for b in batches:
                 x = np.array(b["v"].tolist(), dtype=float).reshape(len(b), -1)
                 n = np.linalg.norm(x, axis=1)
-                cos = (x / np.where(n > 0, n, 1)[:, None]) @ q.T if len(b) else np.zeros((0, len(ids)))
-                r, c = np.nonzero(cos >= threshold)
-                out = pd.DataFrame({"query_id": ids[c], key: b["k"].to_numpy()[r], "cosine": cos[r, c]})
-                yield out[out["query_id"] != out[key]]
+                if not len(b):
+                    continue
+                unit = x / np.where(n > 0, n, 1)[:, None]
+                for at in range(0, len(ids), QUERY_BLOCK):
+                    cos = unit @ q[at : at + QUERY_BLOCK].T
+                    r, c = np.nonzero(cos >= threshold)
+                    out = pd.DataFrame({"query_id": ids[at + c], key: b["k"].to_numpy()[r], "cosine": cos[r, c]})
+                    yield out[out["query_id"] != out[key]]
 
         slim = rows.filter(F.col(vector).isNotNull()).select(F.col(key).alias("k"), F.col(vector).alias("v"))
         parts.append(slim.mapInPandas(run, f"query_id {kind}, {key} {kind}, cosine double"))

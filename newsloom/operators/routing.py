@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import plus_tag
+from newsloom.plans.durable import durable, join_counted
 
 #: Sender rules in a block.
 RULE_BLOCK = 2000
@@ -34,15 +35,22 @@ def by_tag(messages: DataFrame, segments: DataFrame, to: Column, fallback: Colum
 
 def labels_by_rules(messages: DataFrame, rules: DataFrame, key: str, sender: str, to: str) -> DataFrame:
     """(key, labels): the set of labels of all rules that match. Address rules are an equality; sender rules test whether the
-    sender holds the value. Sender rules go over the messages in blocks of RULE_BLOCK, each of which is broadcast."""
+    sender holds the value. They go over the distinct senders, not over the messages, in blocks of RULE_BLOCK, each of which is
+    broadcast; the labels then reach the messages by a join in which senders of many messages are split."""
     exact = rules.filter("field = 'to'").select(F.lower("value").alias("_v"), "label")
     hits = messages.select(key, F.lower(F.col(to)).alias("_v")).join(exact, "_v").select(key, "label")
     holds = rules.filter("field <> 'to' AND value <> ''").select(F.lower("value").alias("_v"), "label")
-    slim = messages.select(key, F.lower(F.col(sender)).alias("_s"))
+    slim = messages.select(key, F.lower(F.col(sender)).alias("_s")).filter("_s IS NOT NULL")
+    senders = durable(slim.groupBy("_s").agg(F.count(F.lit(1)).alias("_n")))
     blocks = -(-holds.count() // RULE_BLOCK)
+    found = None
     for i in range(blocks):
         block = holds.filter(F.pmod(F.xxhash64("_v", "label"), F.lit(blocks)) == i)
-        hits = hits.unionByName(slim.join(F.broadcast(block), F.contains("_s", F.col("_v"))).select(key, "label"))
+        part = senders.join(F.broadcast(block), F.contains("_s", F.col("_v"))).select("_s", "_n", "label")
+        found = part if found is None else found.unionByName(part)
+    if found is not None:
+        sets = durable(found.groupBy("_s").agg(F.first("_n").alias("_n"), F.collect_set("label").alias("_l")))
+        hits = hits.unionByName(join_counted(slim, sets, "_s", "_n", sets.agg(F.sum("_n")).first()[0] or 0).select(key, F.explode("_l").alias("label")))
     return hits.groupBy(key).agg(F.array_sort(F.collect_set("label")).alias("labels"))
 
 

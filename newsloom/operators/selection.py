@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from newsloom.plans.durable import durable
+
 # Weights of the parts of a score.
 WEIGHTS = {"coverage_norm": 0.40, "relevance": 0.25, "freshness": 0.15, "source_quality": 0.10, "split_bonus": 0.10}
 
@@ -45,6 +47,15 @@ def numbered(rows: DataFrame, by: str, day: str, key: str, number: str) -> DataF
     return rows.withColumn("_r", inside).join(starts, [by, day]).withColumn(number, F.col("_start") + F.col("_r")).drop("_r", "_start")
 
 
+def placed(rows: DataFrame, order: list[Column], place: str) -> DataFrame:
+    """rows with their place in a total order over the whole table: sorted by ranges, counted by range, numbered inside each."""
+    cut = durable(rows.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
+    sizes = cut.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))  # one row a range
+    before = F.coalesce(F.sum("_n").over(W.Window.orderBy("_part").rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_part", "_first", before.alias("_start"))
+    return cut.join(F.broadcast(starts), "_part").withColumn(place, F.col("_start") + F.col("_at") - F.col("_first") + 1).drop("_part", "_at", "_first", "_start")
+
+
 def slots(ranked: DataFrame, template: list[tuple[str, int]], order: list[Column]) -> DataFrame:
     """The best rows dealt to the slots in turn: quotas in order of priority, a short slot filled from the next rows."""
     total = sum(n for _, n in template)

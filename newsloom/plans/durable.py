@@ -14,10 +14,13 @@ HOT_PARTS = 1000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a local one is made only where the session names none (tests)."""
+    """The shared folder of the session; a local one is made only where the session names none and runs on one machine (tests).
+    On a cluster without one this is an error, as executors could not read each other's files."""
     for get in (lambda: spark.conf.get("spark.checkpoint.dir", None), lambda: spark.sparkContext.getConf().get("spark.checkpoint.dir"), spark.sparkContext.getCheckpointDir):
         if found := get():
             return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     made = "file://" + tempfile.mkdtemp(prefix="newsloom-")
     spark.sparkContext.setCheckpointDir(made)
     return made

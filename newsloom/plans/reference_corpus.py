@@ -121,15 +121,9 @@ def calendar_merge(spark, at):
     return d.select("issue_date", F.when(F.size("s") > 0, F.array_join("s", ",")).alias("segments"), "items")
 
 
-@query("SELECT source, segment, row_number() OVER (PARTITION BY source ORDER BY issue_date, doc_id) AS issue_no, doc_id FROM documents WHERE source IS NOT NULL AND issue_date IS NOT NULL AND segment = '3-Legal'")
-def issue_numbers(spark, at):
-    d = table(spark, at, "documents").filter("source IS NOT NULL AND issue_date IS NOT NULL AND segment = '3-Legal'")
-    return selection.numbered(d.select("source", "segment", "issue_date", "doc_id"), "source", "issue_date", "doc_id", "issue_no").drop("issue_date")
-
-
 @query("SELECT source, segment, row_number() OVER (PARTITION BY source, segment ORDER BY issue_date, doc_id) AS issue_no, doc_id FROM documents WHERE source IS NOT NULL AND issue_date IS NOT NULL")
-def edition_issue_numbers(spark, at):
-    """The whole of issue_numbers, whose SQL keeps one segment: every edition, that is source and segment; no segment is one, too."""
+def issue_numbers(spark, at):
+    """A running number in every edition, that is source and segment; no segment is one, too."""
     d = table(spark, at, "documents").filter("source IS NOT NULL AND issue_date IS NOT NULL").select(F.struct("source", "segment").alias("edition"), "issue_date", "doc_id")
     return selection.numbered(d, "edition", "issue_date", "doc_id", "issue_no").select("edition.source", "edition.segment", "issue_no", "doc_id")
 
@@ -141,18 +135,15 @@ def freshness(spark, at):
     return d.select("doc_id", F.datediff(today, "issue_date").cast("long").alias("age")).withColumn("stale", F.col("age") > 365)
 
 
-@query("SELECT segment, '{\"segment\":\"' || segment || '\",\"stories\":[' || string_agg('{\"doc_id\":' || doc_id || ',\"n_chars\":' || n_chars || '}', ',' ORDER BY doc_id) || ']}' AS issue FROM documents WHERE segment IS NOT NULL AND content_shape = 'teaser' GROUP BY segment")
-def issue_json(spark, at):
-    d = table(spark, at, "documents").filter("segment IS NOT NULL AND content_shape = 'teaser'")
-    issue = d.groupBy("segment").agg(F.array_sort(F.collect_list(F.struct("doc_id", "n_chars"))).alias("stories"))
-    return issue.select("segment", F.to_json(F.struct("segment", "stories")).alias("issue"))
+_ISSUE = ("segment", "source", "issue_date")
 
 
-@query("SELECT segment, '{\"segment\":\"' || segment || '\",\"stories\":[' || string_agg('{\"doc_id\":' || doc_id || ',\"n_chars\":' || n_chars || '}', ',' ORDER BY doc_id) || ']}' AS issue FROM documents WHERE segment IS NOT NULL GROUP BY segment")
-def full_issue_json(spark, at):
-    """The whole of issue_json, whose SQL keeps the teasers: documents of every shape."""
-    d = table(spark, at, "documents").filter("segment IS NOT NULL").groupBy("segment").agg(F.array_sort(F.collect_list(F.struct("doc_id", "n_chars"))).alias("stories"))
-    return d.select("segment", F.to_json(F.struct("segment", "stories")).alias("issue"))
+@query("""SELECT segment, source, issue_date, '{"segment":"' || segment || '","source":"' || source || '","issue_date":"' || issue_date || '","stories":[' || string_agg('{"doc_id":' || doc_id || ',"n_chars":' || n_chars || '}', ',' ORDER BY doc_id) || ']}' AS issue
+    FROM documents WHERE segment IS NOT NULL AND source IS NOT NULL AND issue_date IS NOT NULL GROUP BY segment, source, issue_date""")
+def issue_json(spark, at):
+    """One nested document per issue, that is what one source brings in one segment on one day: never a whole segment in a row."""
+    d = table(spark, at, "documents").filter("segment IS NOT NULL AND source IS NOT NULL AND issue_date IS NOT NULL").groupBy(*_ISSUE).agg(F.array_sort(F.collect_list(F.struct("doc_id", "n_chars"))).alias("stories"))
+    return d.select(*_ISSUE, F.to_json(F.struct(*_ISSUE, "stories")).alias("issue"))
 
 
 @query("SELECT source, count(*) AS labelled, round(avg(reading_level), 6) AS mean_level, count(*) FILTER (WHERE reading_level >= 4) AS demanding FROM documents JOIN reading_labels USING (doc_id) GROUP BY source")
@@ -239,9 +230,9 @@ def item_grammar(spark, at):
     return X.ITEMS.spark(spark).select("item_id", F.array_join(text.tickers(c), ",").alias("tickers"), F.array_join(text.numbers(c), " | ").alias("numbers"), text.signpost(c).alias("take"), text.read_label(c).alias("minutes"), F.coalesce(c.rlike(r"(?i)\bai\b"), F.lit(False)).alias("about_ai"))
 
 
-@query(rf"""SELECT n, count(*) AS uses, count(DISTINCT doc_id) AS documents FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(\$\d[\d,]* (?:million|billion))', 1)) AS n FROM documents) GROUP BY n""")
+@query(rf"""SELECT n, count(*) AS uses, count(DISTINCT doc_id) AS documents FROM (SELECT doc_id, unnest(regexp_extract_all(text, '({text.NUMBER})', 1)) AS n FROM documents) GROUP BY n""")
 def number_extract(spark, at):
-    d = table(spark, at, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"(\$\d[\d,]* (?:million|billion))"), F.lit(1))).alias("n"))
+    d = table(spark, at, "documents").select("doc_id", F.explode(text.numbers(F.col("text"))).alias("n"))
     return d.groupBy("n").agg(F.count(F.lit(1)).alias("uses"), F.count_distinct("doc_id").alias("documents"))
 
 
@@ -272,20 +263,10 @@ def cluster_components(spark, at):
     return pairs.components(pairs.jaccard_pairs(_heads(spark, at)[0], 0.6))
 
 
-_ENTITY_PATTERN = r"^\s*(?:[^\n]*?[^\n\p{L}])??([A-Z][a-z]{4,})(?:[^\p{L}]|$)"
-_ENTITY = f"regexp_extract(text, '{_ENTITY_PATTERN}', 1)"
-
-
-@query(f"SELECT a, doc_id AS b, entity FROM (SELECT doc_id, {_ENTITY} AS entity, min(doc_id) OVER (PARTITION BY {_ENTITY}) AS a FROM documents WHERE {_ENTITY} <> '') WHERE doc_id > a")
-def entity_links(spark, at):
-    d = table(spark, at, "documents").select("doc_id", F.regexp_extract("text", _ENTITY_PATTERN, 1).alias("entity")).filter("entity <> ''")
-    return pairs.star_edges(d, "doc_id", "entity")
-
-
 @query(r"""WITH e AS (SELECT DISTINCT doc_id, w AS entity FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\p{L}+')) AS w FROM documents) WHERE regexp_full_match(w, '[A-Z][a-z]{4,}'))
     SELECT a, doc_id AS b, entity FROM (SELECT doc_id, entity, min(doc_id) OVER (PARTITION BY entity) AS a FROM e) WHERE doc_id > a""")
-def all_entity_links(spark, at):
-    """The whole of entity_links, whose SQL takes the first entity of the first line: each entity of the whole text, once a document."""
+def entity_links(spark, at):
+    """Documents that share an entity: each entity of the whole text, once a document, linked to its first document."""
     found = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<!\p{L})([A-Z][a-z]{4,})(?!\p{L})"), F.lit(1)))
     return pairs.star_edges(durable(table(spark, at, "documents").select("doc_id", F.explode(found).alias("entity"))), "doc_id", "entity")
 
@@ -313,12 +294,18 @@ def trace_lineage(spark, at):
     return chain.groupBy("n_name").agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("o_orderkey").alias("orders"), F.count_distinct("c_custkey").alias("customers"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
 
 
-@query("SELECT * FROM (VALUES ('s2', '7%')) AS v(story, number)")
+_VALUE = "TRY_CAST(replace(regexp_extract({0}, '(\\d[\\d,]*(?:\\.\\d+)?)', 1), ',', '') AS DOUBLE) * CASE regexp_extract({0}, '\\d ?([KMBT])\\b', 1) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 WHEN 'T' THEN 1e12 ELSE 1 END"
+_UNIT = "CASE WHEN contains({0}, '%') THEN '%' WHEN contains({0}, 'bps') THEN 'bps' WHEN starts_with({0}, '$') THEN '$' WHEN starts_with({0}, '€') THEN '€' WHEN starts_with({0}, '£') THEN '£' ELSE '' END"
+
+
+@query(rf"""WITH used AS (SELECT story, unnest(regexp_extract_all(text, '({text.NUMBER})', 1)) AS number FROM {X.COPY.sql()}), known AS (SELECT story, {_VALUE.format("value")} AS v, {_UNIT.format("value")} AS unit FROM {X.FACTS.sql()})
+    SELECT story, number FROM used u WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.story = u.story AND k.v = {_VALUE.format("number")} AND k.unit = {_UNIT.format("number")})""")
 def validate_numbers(spark, at):
     return checks.unknown_numbers(X.COPY.spark(spark), X.FACTS.spark(spark), "story", "text")
 
 
-@query("SELECT * FROM (VALUES ('s2', 'we never said this', 'not verbatim'), ('s3', 'quiet', 'several'), ('s3', 'qui', 'several')) AS v(story, quote, reason)")
+@query(rf"""SELECT story, quote, reason FROM (SELECT q.story, quote, CASE WHEN len(list_filter(regexp_split_to_array(quote, '\s+'), lambda w: w <> '')) >= 15 THEN 'long' WHEN NOT coalesce(contains(c.text, quote), false) THEN 'not verbatim' WHEN count(*) OVER (PARTITION BY q.story) > 1 THEN 'several' END AS reason
+    FROM {X.QUOTES.sql()} q LEFT JOIN {X.COPY.sql()} c USING (story)) WHERE reason IS NOT NULL""")
 def validate_quotes(spark, at):
     return checks.bad_quotes(X.QUOTES.spark(spark), X.COPY.spark(spark), "story")
 
@@ -326,13 +313,13 @@ def validate_quotes(spark, at):
 EXTRACTION = "tldr string, tone string, importance int, topics array<string>, entities array<struct<name string, entity_type string, mention_count int>>"
 
 
-@query(f"""SELECT msg_id, e.name AS name, e.entity_type AS entity_type, CAST(e.mention_count AS BIGINT) AS mentions FROM (SELECT msg_id, unnest(from_json(payload -> 'entities', '[{{"name": "VARCHAR", "entity_type": "VARCHAR", "mention_count": "INTEGER"}}]')) AS e FROM {X.EXTRACTIONS.sql()} WHERE json_valid(payload) AND payload <> '' AND msg_id <> 'm5')""")
+@query(f"""SELECT msg_id, e.name AS name, e.entity_type AS entity_type, CAST(e.mention_count AS BIGINT) AS mentions FROM (SELECT msg_id, unnest(from_json(payload -> 'entities', '[{{"name": "VARCHAR", "entity_type": "VARCHAR", "mention_count": "INTEGER"}}]')) AS e FROM {X.EXTRACTIONS.sql()} WHERE json_valid(payload) AND json_type(payload, '$.entities') = 'ARRAY')""")
 def json_fanout(spark, at):
     parsed = X.EXTRACTIONS.spark(spark).select("msg_id", F.from_json("payload", EXTRACTION).alias("x"))
     return parsed.select("msg_id", F.explode("x.entities").alias("e")).select("msg_id", "e.name", "e.entity_type", F.col("e.mention_count").cast("long").alias("mentions"))
 
 
-@query("SELECT * FROM (VALUES ('m1', 'valid'), ('m2', 'missing'), ('m3', 'broken'), ('m4', 'broken'), ('m5', 'missing')) AS v(msg_id, state)")
+@query(f"SELECT msg_id, CASE WHEN NOT coalesce(json_valid(payload), false) THEN 'broken' WHEN json_extract_string(payload, '$.tldr') IS NOT NULL AND json_type(payload, '$.topics') = 'ARRAY' AND json_type(payload, '$.entities') = 'ARRAY' THEN 'valid' ELSE 'missing' END AS state FROM {X.EXTRACTIONS.sql()}")
 def json_validity(spark, at):
     x = X.EXTRACTIONS.spark(spark).select("msg_id", F.from_json("payload", EXTRACTION + ", _bad string", {"columnNameOfCorruptRecord": "_bad"}).alias("x"), "payload")
     full = F.col("x.tldr").isNotNull() & F.col("x.topics").isNotNull() & F.col("x.entities").isNotNull()
@@ -347,7 +334,13 @@ def event_props(spark, at):
 
 # ---- stated inputs
 
-@query("SELECT video_id, CAST(cue_no AS BIGINT) AS cue_no, CAST(start AS DOUBLE) AS start, text FROM (VALUES ('v', 1, 1.0, 'Hello there'), ('v', 2, 3603.25, 'Bye'), ('w', 1, 5.0, 'Bye')) AS v(video_id, cue_no, start, text)")
+_STAMP = r"regexp_extract(line, '^\s*(\d{2}:\d{2}:\d{2}[.,]\d{3}) *-->', 1)"
+
+
+@query(rf"""WITH l AS (SELECT *, {_STAMP} AS stamp, trim(regexp_replace(line, '<[^>]+>', '', 'g')) AS text FROM {X.CUES.sql()}), c AS (SELECT *, count(nullif(stamp, '')) OVER (PARTITION BY video_id ORDER BY line_no) AS cue FROM l),
+    s AS (SELECT *, max(nullif(stamp, '')) OVER (PARTITION BY video_id, cue) AS began FROM c), f AS (SELECT video_id, cue, any_value(began) AS began, arg_min(text, line_no) AS text FROM s WHERE cue > 0 AND stamp = '' AND text <> '' AND NOT regexp_matches(line, '^\s*\d+\s*$') GROUP BY video_id, cue),
+    k AS (SELECT *, lag(text) OVER (PARTITION BY video_id ORDER BY cue) AS was FROM f)
+    SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY cue) AS cue_no, CAST(substring(began, 1, 2) AS DOUBLE) * 3600 + CAST(substring(began, 4, 2) AS DOUBLE) * 60 + CAST(substring(began, 7, 2) AS DOUBLE) + CAST(substring(began, 10, 3) AS DOUBLE) / 1000 AS start, text FROM k WHERE text IS DISTINCT FROM was""")
 def cue_dedup(spark, at):
     return readers.cues(X.CUES.spark(spark))
 
@@ -355,7 +348,7 @@ def cue_dedup(spark, at):
 @query(f"SELECT name, row_number() OVER (ORDER BY list_transform(string_split(version, '.'), lambda x: CAST(x AS INT)) DESC, name) AS place FROM {X.VERSIONS.sql()}")
 def version_sort(spark, at):
     v = X.VERSIONS.spark(spark).withColumn("v", F.transform(F.split("version", r"\."), lambda x: x.cast("int")))
-    return v.select("name", F.row_number().over(W.Window.orderBy(F.desc("v"), "name")).cast("long").alias("place"))
+    return selection.placed(v.select("name", "v"), [F.desc("v"), F.col("name")], "place").drop("v")
 
 
 @query(rf"""SELECT n, CASE WHEN length(p) > 140 THEN rtrim(substring(p, 1, 140)) || '…' ELSE p END AS line FROM (SELECT n, regexp_replace(trim(prompt, ' '), '\s+', ' ', 'g') AS p FROM {X.PROMPTS.sql()}) WHERE p <> '' AND NOT starts_with(p, '<') AND NOT contains(lower(p), 'system-reminder') AND NOT starts_with(p, '[Request interrupted') AND NOT starts_with(lower(p), 'caveat:')""")
@@ -372,10 +365,12 @@ def edition_times(spark, at):
     return X.EDITIONS.spark(spark).select("edition", "day", F.unix_micros(dates.edition_instant(d, "07:30")).alias("start_us"), dates.is_friday(d).alias("friday"))
 
 
-@query("SELECT doc_id, replace(replace(rtrim(to_base64(encode(left_head)), '='), '+', '-'), '/', '_') AS encoded, left_head AS decoded, '\"' || replace(left_head, '\"', '\"\"') || '\"' AS cell FROM (SELECT doc_id, regexp_extract(text, '^([^\\n]*)', 1) AS left_head FROM documents WHERE length(text) > 0)")
+@query("SELECT doc_id, sha256(replace(replace(rtrim(to_base64(encode(text)), '='), '+', '-'), '/', '_')) AS encoded, sha256(text) AS decoded, sha256('\"' || replace(regexp_replace(text, '\\r?\\n', ' ', 'g'), '\"', '\"\"') || '\"') AS cell FROM documents WHERE length(text) > 0")
 def base64url_round_trip(spark, at):
-    d = table(spark, at, "documents").filter(F.length("text") > 0).select("doc_id", F.regexp_extract("text", r"^([^\n]*)", 1).alias("h"))
-    return d.select("doc_id", text.to_base64url(F.col("h")).alias("encoded"), text.from_base64url(text.to_base64url(F.col("h"))).alias("decoded"), text.csv_cell(F.col("h")).alias("cell"))
+    """Hashes of each whole text encoded, of what comes back, and of it as a cell."""
+    d = table(spark, at, "documents").filter(F.length("text") > 0)
+    encoded = text.to_base64url(F.col("text"))
+    return d.select("doc_id", *(text.content_hash(c).alias(n) for n, c in (("encoded", encoded), ("decoded", text.from_base64url(encoded)), ("cell", text.csv_cell(F.col("text"))))))
 
 
 # ---- events: batch and streams
@@ -424,19 +419,23 @@ def _us(df):
     return df.withColumn("start_us", F.unix_micros("start")).drop("start", "end")
 
 
-@query("""SELECT event_type, epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
+_CLOSED = "(SELECT time_bucket(INTERVAL 1 MILLISECOND, max(ts)) - INTERVAL 1 HOUR AS mark FROM events)"
+
+
+@query(f"""SELECT event_type, epoch_us(w) AS start_us, n, total FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS w, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL), {_CLOSED} WHERE w + INTERVAL 1 HOUR <= mark""")
 def stream_tumbling(spark, at):
-    return _us(windows.drained(windows.tumbling(_stream(spark, at), "ts", "event_type", "1 hour"), "complete")).withColumn("total", F.round("total", 4))
+    """Windows that the watermark has closed; open ones come with a later run."""
+    return _us(windows.drained(windows.tumbling(_stream(spark, at), "ts", "event_type", "1 hour"))).withColumn("total", F.round("total", 4))
 
 
-@query("""SELECT event_type, epoch_us(w) AS start_us, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL 12 HOUR, ts), time_bucket(INTERVAL 12 HOUR, ts) - INTERVAL 12 HOUR]) AS w FROM events) GROUP BY ALL""")
+@query(f"""SELECT event_type, epoch_us(w) AS start_us, n FROM (SELECT event_type, w, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL 12 HOUR, ts), time_bucket(INTERVAL 12 HOUR, ts) - INTERVAL 12 HOUR]) AS w FROM events) GROUP BY ALL), {_CLOSED} WHERE w + INTERVAL 24 HOUR <= mark""")
 def stream_sliding(spark, at):
-    return _us(windows.drained(windows.tumbling(_stream(spark, at), "ts", "event_type", "24 hours", slide="12 hours"), "complete")).drop("total")
+    return _us(windows.drained(windows.tumbling(_stream(spark, at), "ts", "event_type", "24 hours", slide="12 hours"))).drop("total")
 
 
-@query("""SELECT user_id, epoch_us(min(ts)) AS start_us, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s""")
+@query(f"""SELECT user_id, start_us, n FROM (SELECT user_id, epoch_us(min(ts)) AS start_us, max(ts) AS last, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s), {_CLOSED} WHERE last + INTERVAL 2 HOUR <= mark""")
 def stream_session(spark, at):
-    return _us(windows.drained(windows.sessions(_stream(spark, at), "ts", "user_id", "2 hours"), "complete"))
+    return _us(windows.drained(windows.sessions(_stream(spark, at), "ts", "user_id", "2 hours")))
 
 
 @query("""SELECT count(*) AS kept, count(DISTINCT user_id) AS users FROM (SELECT DISTINCT user_id, event_type FROM events)""")
@@ -458,23 +457,14 @@ def structured_lines(spark, at):
     return x.select("line_id", "d.*", "stars", "items", "contents", "banned")
 
 
-_NAME = r"(?:^|[^\p{L}])([A-Z][a-z]{3,}(?:x|rin|vik|lo|ket|dal|mont|ter|nix|pha|sha|wick))(?:[^\p{L}]|$)"
-
-
-@query(rf"""SELECT entity, count(*) AS documents, CAST(sum(n) AS BIGINT) AS mentions FROM (SELECT doc_id, entity, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_NAME}', 1)) AS entity FROM documents) GROUP BY doc_id, entity) GROUP BY entity""")
-def entity_mentions(spark, at):
-    d = table(spark, at, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_NAME), F.lit(1))).alias("entity"))
-    per = d.groupBy("doc_id", "entity").agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy("entity").agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("mentions"))
-
-
 #: Capitalised words of any script, less those that begin a line or sentence.
 _CAPITALISED = r"(?m)(?<!\p{L})(?<!(?:^|[.!?…])[\s\"“”„‘’'()*•–-]{0,4})(\p{Lu}\p{Ll}{3,})(?!\p{L})"
+_INNER = r"""regexp_replace(text, '(?:^|[\n.!?…])[\s"“”„‘’''()*•–-]{0,4}\p{L}*', chr(10), 'g')"""
 
 
-@query()
-def all_entity_mentions(spark, at):
-    """The whole of entity_mentions, whose SQL takes names of certain endings."""
+@query(rf"""SELECT entity, count(*) AS documents, CAST(sum(n) AS BIGINT) AS mentions FROM (SELECT doc_id, entity, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_INNER}, '\p{{L}}+')) AS entity FROM documents) WHERE regexp_full_match(entity, '\p{{Lu}}\p{{Ll}}{{3,}}') GROUP BY doc_id, entity) GROUP BY entity""")
+def entity_mentions(spark, at):
+    """Names by a general rule: capitalised words within a sentence. German nouns count too; names that only begin lines don't."""
     d = table(spark, at, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_CAPITALISED), F.lit(1))).alias("entity"))
     per = d.groupBy("doc_id", "entity").agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy("entity").agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("mentions"))
