@@ -160,9 +160,13 @@ def listed_topics(c: Column) -> Column:
 
 
 # Verbs of a move up and down.
-_UP = "soars?|soared|jumps?|jumped|surges?|surged|rises?|rose|gains?|gained|climbs?|climbed|rallies|rallied|adds|added|leaps?|up"
-_DOWN = "falls?|fell|drops?|dropped|slides?|slid|sinks?|sank|plunges?|plunged|tumbles?|tumbled|slips?|slipped|loses|lost|sheds?|crashes|crashed|down"
-_MOVER = rf"(\p{{Lu}}(?!ƒ)[\p{{L}}\p{{N}}.&’'_-]+(?: [\p{{Lu}}\d][\p{{L}}\p{{N}}.&’'_-]*)*|[\p{{L}}\p{{N}}_]+)(?: (?:is |are )?({_UP}|{_DOWN})(?: by)? +|[ :(]+(?=[+−–▲▼-]))([+−–▲▼-]?) ?(\d[\d,]*(?:\.\d+)?) ?%\)?(?: (?:on|after|as|amid) ([^,;.|\n]+))?"
+UP = "soars?|soared|jumps?|jumped|surges?|surged|rises?|rose|gains?|gained|climbs?|climbed|rallies|rallied|adds|added|leaps?|up"
+DOWN = "falls?|fell|drops?|dropped|slides?|slid|sinks?|sank|plunges?|plunged|tumbles?|tumbled|slips?|slipped|loses|lost|sheds?|crashes|crashed|down"
+_PART = r"[\p{L}\p{N}.&’'_-]"
+_NUMBER = r"(\d[\d,]*(?:\.\d+)?) ?%\)?(?: (?:on|after|as|amid) ([^,;.|\n]+))?"
+#: The same without looking ahead, as SQL has it: name, verb, sign after a verb, sign alone, number, reason.
+MOVER_RE2 = rf"(\p{{Lu}}{_PART}+(?: [\p{{Lu}}\d]{_PART}*)*|[\p{{L}}\p{{N}}_]+)(?: (?:is |are )?({UP}|{DOWN})(?: by)? +([+−–▲▼-]?)|[ :(]+([+−–▲▼-])) ?{_NUMBER}"
+_MOVER = rf"(\p{{Lu}}(?!ƒ)[\p{{L}}\p{{N}}.&’'_-]+(?: [\p{{Lu}}\d][\p{{L}}\p{{N}}.&’'_-]*)*|[\p{{L}}\p{{N}}_]+)(?: (?:is |are )?({UP}|{DOWN})(?: by)? +|[ :(]+(?=[+−–▲▼-]))([+−–▲▼-]?) ?(\d[\d,]*(?:\.\d+)?) ?%\)?(?: (?:on|after|as|amid) ([^,;.|\n]+))?"
 
 
 def movers(c: Column) -> Column:
@@ -170,13 +174,24 @@ def movers(c: Column) -> Column:
 
     def one(x: Column) -> Column:
         part = lambda i: F.regexp_extract(x, _MOVER, i)
-        down = part(2).rlike(f"^(?:{_DOWN})$") | part(3).isin("−", "–", "-", "▼")
+        down = part(2).rlike(f"^(?:{DOWN})$") | part(3).isin("−", "–", "-", "▼")
         pct = F.replace(part(4), F.lit(","), F.lit("")).cast("double")
         return F.struct(part(1).alias("name"), F.when(down, -pct).otherwise(pct).alias("pct"), F.when(down, "down").otherwise("up").alias("direction"), F.nullif(F.trim(part(5)), F.lit("")).alias("reason"))
 
     return F.transform(F.regexp_extract_all(c, F.lit(_MOVER), F.lit(0)), one)
 
 
+#: A deal in a subject: company, amount, magnitude.
+DEAL = r"(?i)([\p{L}\p{N}_]+)(?:’s| raises| raised| lands| secures| closes| gets) (?:[$€£])([0-9][0-9,]*(?:\.[0-9]+)?) ?(K|M|B|T|million|billion|)\b"
+
+
+def subject_deal(c: Column) -> Column:
+    """`Acme’s $12M bet`, `Acme raises $12M` and the like as (company, amount)."""
+    scale = F.regexp_extract(c, DEAL, 3)
+    times = F.when(scale == "K", 1000).when(scale.isin("B", "billion"), 1_000_000_000).when(scale == "T", 1_000_000_000_000).when(scale == "", 1).otherwise(1_000_000)
+    return F.struct(F.trim(F.regexp_extract(c, DEAL, 1)).alias("company"), (F.replace(F.regexp_extract(c, DEAL, 2), F.lit(","), F.lit("")).try_cast("decimal(18,4)") * times).alias("amount"))
+
+
 def signpost(c: Column) -> Column:
     """The take after `Why it matters:` or `The bottom line:`; empty if there is none."""
     return F.trim(F.regexp_extract(c, r"(?i)(?:why it matters|the bottom line): *([^\n]+)", 1))

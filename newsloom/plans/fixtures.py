@@ -49,6 +49,10 @@ RAW_MAIL = Fixture(
         ("m4", ""),
     ],
 )
+SIGNAL_PAGES = Fixture(
+    "msg_id string, body string",
+    [("p1", "Please solve this reCAPTCHA to go on"), ("p2", "The week in chips. Upgrade to read on; become a member."), ("p3", "Bot check, then subscribe to read"), ("p4", "nothing of the kind"), ("p5", None)],
+)
 RULES = Fixture(
     "rule_id string, field string, value string, label string",
     [

@@ -191,6 +191,15 @@ def redirect_unwrap(spark, at):
     return X.LINKS.spark(spark).select("link_id", urls.unwrapped(F.col("url")).alias("target"), urls.is_tracking(F.col("url"), ["go.example"]).alias("is_tracking"))
 
 
+_HTML = f"(SELECT CAST(page_id AS VARCHAR) AS page_id, html FROM {X.PAGES.sql()} UNION ALL SELECT msg_id, html_body FROM full_message WHERE html_body IS NOT NULL)"
+
+
+def _html(spark, at):
+    """The HTML bodies and a few stated pages with blocks that they lack."""
+    bodies = table(spark, at, "full_message").filter("html_body IS NOT NULL").select(F.col("msg_id").alias("page_id"), F.col("html_body").alias("html"))
+    return X.PAGES.spark(spark).select(F.col("page_id").cast("string").alias("page_id"), "html").unionByName(bodies)
+
+
 def _plain_sql(c: str) -> str:
     out = f"regexp_replace({c}, '<!--[\\s\\S]*?-->', ' ', 'g')"
     for tag in ("script", "style", "nav", "footer"):
@@ -207,14 +216,14 @@ def html_to_text(spark, at):
     return m.select("msg_id", text.content_hash(F.col("t")).alias("text_hash"), F.length("t").cast("long").alias("n_chars"))
 
 
-@query(f"SELECT page_id, {_plain_sql(chr(39).join(['regexp_replace(html, ', '(?is)<div[^>]*class=[' + chr(34) + chr(92) + 'x27][^' + chr(34) + chr(92) + 'x27]*\\b(?:ad|sponsor|promo)\\b[^' + chr(34) + chr(92) + 'x27]*[' + chr(34) + chr(92) + 'x27][^>]*>.*?</div>', ', ', ' ', ', ', 'g', ')']))} AS plain FROM {X.PAGES.sql()}")
+@query(f"SELECT page_id, {_plain_sql(chr(39).join(['regexp_replace(html, ', '(?is)<div[^>]*class=[' + chr(34) + chr(92) + 'x27][^' + chr(34) + chr(92) + 'x27]*\\b(?:ad|sponsor|promo)\\b[^' + chr(34) + chr(92) + 'x27]*[' + chr(34) + chr(92) + 'x27][^>]*>.*?</div>', ', ', ' ', ', ', 'g', ')']))} AS plain FROM {_HTML}")
 def ad_block_strip(spark, at):
-    return X.PAGES.spark(spark).select("page_id", html.plain_text(html.without_ads(F.col("html"))).alias("plain"))
+    return _html(spark, at).select("page_id", html.plain_text(html.without_ads(F.col("html"))).alias("plain"))
 
 
-@query(rf"""SELECT page_id, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2)) AS anchor FROM {X.PAGES.sql()}""")
+@query(rf"""SELECT page_id, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2)) AS anchor FROM {_HTML}""")
 def anchor_extract(spark, at):
-    return X.PAGES.spark(spark).select("page_id", F.explode(urls.anchors(F.col("html"))).alias("a")).select("page_id", "a.href", "a.anchor")
+    return _html(spark, at).select("page_id", F.explode(urls.anchors(F.col("html"))).alias("a")).select("page_id", "a.href", "a.anchor")
 
 
 @query()
@@ -224,10 +233,12 @@ def html_markdown(spark, at):
 
 
 @query(rf"""SELECT item_id, array_to_string(regexp_extract_all(text, '\$([A-Z]{{1,5}})\b', 1), ',') AS tickers, array_to_string(regexp_extract_all(text, '({text.NUMBER})', 1), ' | ') AS numbers, trim(regexp_extract(text, '(?i)(?:why it matters|the bottom line): *([^\n]+)', 1)) AS take,
-    TRY_CAST(regexp_extract(text, '(?i)\b(\d+) min(?:ute)? read\b', 1) AS BIGINT) AS minutes, coalesce(regexp_matches(text, '(?i)\bai\b'), false) AS about_ai FROM {X.ITEMS.sql()}""")
+    TRY_CAST(regexp_extract(text, '(?i)\b(\d+) min(?:ute)? read\b', 1) AS BIGINT) AS minutes, coalesce(regexp_matches(text, '(?i)\bai\b'), false) AS about_ai FROM (SELECT 'i' || item_id AS item_id, text FROM {X.ITEMS.sql()} UNION ALL SELECT 'd' || doc_id, text FROM documents)""")
 def item_grammar(spark, at):
     c = F.col("text")
-    return X.ITEMS.spark(spark).select("item_id", F.array_join(text.tickers(c), ",").alias("tickers"), F.array_join(text.numbers(c), " | ").alias("numbers"), text.signpost(c).alias("take"), text.read_label(c).alias("minutes"), F.coalesce(c.rlike(r"(?i)\bai\b"), F.lit(False)).alias("about_ai"))
+    docs = table(spark, at, "documents").select(F.concat(F.lit("d"), "doc_id").alias("item_id"), "text")
+    items = X.ITEMS.spark(spark).select(F.concat(F.lit("i"), "item_id").alias("item_id"), "text").unionByName(docs)
+    return items.select("item_id", F.array_join(text.tickers(c), ",").alias("tickers"), F.array_join(text.numbers(c), " | ").alias("numbers"), text.signpost(c).alias("take"), text.read_label(c).alias("minutes"), F.coalesce(c.rlike(r"(?i)\bai\b"), F.lit(False)).alias("about_ai"))
 
 
 @query(rf"""SELECT n, count(*) AS uses, count(DISTINCT doc_id) AS documents FROM (SELECT doc_id, unnest(regexp_extract_all(text, '({text.NUMBER})', 1)) AS n FROM documents) GROUP BY n""")
@@ -280,10 +291,10 @@ def cosine_neighbours(spark, at):
 
 # ---- facts
 
-@query("""SELECT l_partkey, count(*) AS sources, min(v) AS lowest, max(v) AS highest FROM (SELECT l_partkey, l_suppkey, min(l_extendedprice / l_quantity) AS v FROM lineitem GROUP BY ALL) GROUP BY l_partkey HAVING count(*) > 1 AND max(v) > min(v) AND (max(v) - min(v)) / abs(min(v)) > 5.0""")
+@query("""SELECT l_partkey, count(*) AS sources, min(v) AS lowest, max(v) AS highest FROM (SELECT l_partkey, l_suppkey, min(l_extendedprice / l_quantity) AS v FROM lineitem GROUP BY ALL) GROUP BY l_partkey HAVING count(*) > 1 AND max(v) > min(v) AND (max(v) - min(v)) / abs(min(v)) > 0.05""")
 def conflict_facts(spark, at):
     l = table(spark, at, "lineitem").select("l_partkey", "l_suppkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("v"))
-    return checks.conflicts(l, "l_partkey", "l_suppkey", "v", 5.0).select("l_partkey", "sources", "lowest", "highest")
+    return checks.conflicts(l, "l_partkey", "l_suppkey", "v", 0.05).select("l_partkey", "sources", "lowest", "highest")
 
 
 @query("""SELECT n_name, count(*) AS lines, count(DISTINCT o_orderkey) AS orders, count(DISTINCT c_custkey) AS customers, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM nation JOIN supplier ON s_nationkey = n_nationkey JOIN lineitem ON l_suppkey = s_suppkey JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY n_name""")

@@ -9,6 +9,7 @@ from pyspark.sql import window as W
 from newsloom.functions import dates, text
 from newsloom.operators import checks, ingest, routing, timelines
 from newsloom.plans import fixtures as X
+from newsloom.sources import mime
 from newsloom.sources.tables import canonical_id, sender_address, table
 
 QUERIES: dict = {}
@@ -92,36 +93,46 @@ def _kind_sql(subject: str) -> str:
 @query(f"""SELECT kind, is_issue, count(*) AS messages FROM (SELECT {_kind_sql('s')} AS kind, CASE WHEN coalesce(trim(s), '') = '' THEN 0 WHEN regexp_matches(s, '{routing.CONFIRM.replace(chr(39), chr(39) * 2)}') THEN 0 ELSE 1 END AS is_issue
     FROM (SELECT {_DECODED} AS s FROM {FIRST})) GROUP BY ALL""")
 def issue_kinds(spark, at):
-    s = messages(spark, at, "subject").select(text.decode_base64_word(F.col("subject")).alias("s"))
+    s = messages(spark, at, "subject").select(mime.decode_words(F.col("subject")).alias("s"))
     return s.select(routing.kind(F.col("s")).alias("kind"), routing.is_issue(F.col("s")).alias("is_issue")).groupBy("kind", "is_issue").agg(F.count(F.lit(1)).alias("messages"))
 
 
-@query(f"SELECT k AS msg_id, {SENDER} AS sender FROM {FIRST} WHERE {_kind_sql('subject')} = 'engagement_check'")
+@query(f"SELECT k AS msg_id, sender FROM (SELECT k, {SENDER} AS sender, {_DECODED} AS s FROM {FIRST}) WHERE {_kind_sql('s')} = 'engagement_check'")
 def engagement_alerts(spark, at):
-    m = messages(spark, at, "from_h", "subject")
-    return m.filter(routing.kind(F.col("subject")) == "engagement_check").select(F.col("k").alias("msg_id"), sender_address("from_h").alias("sender"))
+    m = messages(spark, at, "from_h", "subject").withColumn("s", mime.decode_words(F.col("subject")))
+    return m.filter(routing.kind(F.col("s")) == "engagement_check").select(F.col("k").alias("msg_id"), sender_address("from_h").alias("sender"))
 
 
-@query(f"""SELECT k AS msg_id, topic_no, topic FROM (SELECT k, unnest(t) AS topic, unnest(range(len(t))) AS topic_no FROM (SELECT k, list_filter(list_transform(string_split(rest, ';'), lambda x: trim(x)), lambda x: x <> '') AS t
-    FROM (SELECT k, regexp_replace(subject, '^(?:Fwd: )?(?:Plus!|[0-9]+:) *', '') AS rest FROM {FIRST}) WHERE contains(rest, ';')))""")
+_EMOJI = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}\x{FE0F}\x{200D}]+"
+
+
+@query(rf"""WITH r AS (SELECT k, subject, regexp_replace(subject, '^(?:Fwd: )?(?:Plus!|(?:[^:;,]* )?[0-9]+:) *', '') AS rest FROM {FIRST}),
+    l AS (SELECT k, CASE WHEN contains(rest, ';') THEN string_split(rest, ';') WHEN regexp_matches(rest, ',.*,') OR (rest <> subject AND contains(rest, ',')) THEN list_transform(string_split(regexp_replace(rest, ',([0-9]{{3}})\b', chr(1) || '\1', 'g'), ','), lambda x: replace(x, chr(1), ','))
+        WHEN regexp_matches(rest, '{_EMOJI}[^,;]*{_EMOJI}[^,;]*{_EMOJI}') THEN regexp_split_to_array(rest, '{_EMOJI}') END AS parts FROM r),
+    t AS (SELECT k, list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '^\s*and |{_EMOJI}', '', 'g'))), lambda x: x <> '') AS t FROM l)
+    SELECT k AS msg_id, topic_no, topic FROM (SELECT k, unnest(t) AS topic, unnest(range(len(t))) AS topic_no FROM t)""")
 def subject_topics(spark, at):
     m = messages(spark, at, "subject")
-    return m.select(F.col("k").alias("msg_id"), F.posexplode(text.subject_topics(F.col("subject"))).alias("topic_no", "topic")).withColumn("topic_no", F.col("topic_no").cast("long"))
+    return m.select(F.col("k").alias("msg_id"), F.posexplode(text.listed_topics(F.col("subject"))).alias("topic_no", "topic")).withColumn("topic_no", F.col("topic_no").cast("long"))
+
 
+_MOVER_SQL = text.MOVER_RE2.replace("'", "''")
+_MOVES = rf"""(SELECT k, s, unnest(range(len(v))) AS mover_no, unnest(nm) AS name, unnest(up) AS verb, unnest(s1) || unnest(s2) AS sign, CAST(replace(unnest(v), ',', '') AS DOUBLE) AS v, nullif(trim(unnest(why)), '') AS reason FROM (SELECT k, {SENDER} AS s,
+    {', '.join(f"regexp_extract_all(subject, '{_MOVER_SQL}', {i}) AS {n}" for i, n in ((1, 'nm'), (2, 'up'), (3, 's1'), (4, 's2'), (5, 'v'), (6, 'why')))} FROM {FIRST} WHERE contains(subject, '%')))"""
+_DOWN_SQL = rf"(regexp_full_match(verb, '{text.DOWN}') OR sign IN ('−', '–', '-', '▼'))"
 
-@query(rf"""SELECT k AS msg_id, regexp_extract(subject, '(\w+) soars (\d+)%', 1) AS name, CAST(regexp_extract(subject, '(\w+) soars (\d+)%', 2) AS BIGINT) AS pct, 'up' AS direction FROM {FIRST} WHERE regexp_matches(subject, '(\w+) soars (\d+)%')""")
+
+@query(f"SELECT k AS msg_id, mover_no, name, CASE WHEN {_DOWN_SQL} THEN -v ELSE v END AS pct, CASE WHEN {_DOWN_SQL} THEN 'down' ELSE 'up' END AS direction, reason FROM {_MOVES}")
 def mover_rows(spark, at):
-    m = messages(spark, at, "subject").filter(F.col("subject").rlike(r"(\w+) soars (\d+)%"))
-    part = lambda i: F.regexp_extract("subject", r"(\w+) soars (\d+)%", i)
-    return m.select(F.col("k").alias("msg_id"), part(1).alias("name"), part(2).cast("long").alias("pct"), F.lit("up").alias("direction"))
+    m = messages(spark, at, "subject").filter(F.contains("subject", F.lit("%")))
+    return m.select(F.col("k").alias("msg_id"), F.posexplode(text.movers(F.col("subject"))).alias("mover_no", "m")).select("msg_id", F.col("mover_no").cast("long").alias("mover_no"), "m.*")
 
 
-@query(rf"""SELECT company, count(*) AS deals, CAST(sum(amount_m) AS BIGINT) AS amount_m FROM (SELECT regexp_extract(subject, '(\w+)’s \$(\d+)M bet', 1) AS company, CAST(regexp_extract(subject, '(\w+)’s \$(\d+)M bet', 2) AS BIGINT) AS amount_m
-    FROM {FIRST} WHERE regexp_matches(subject, '(\w+)’s \$(\d+)M bet')) GROUP BY company""")
+@query(rf"""SELECT company, count(*) AS deals, CAST(sum(v * CASE u WHEN 'K' THEN 1000 WHEN 'B' THEN 1000000000 WHEN 'billion' THEN 1000000000 WHEN 'T' THEN 1000000000000 WHEN '' THEN 1 ELSE 1000000 END) AS BIGINT) AS amount FROM (SELECT trim(regexp_extract(subject, '{text.DEAL}', 1)) AS company,
+    TRY_CAST(replace(regexp_extract(subject, '{text.DEAL}', 2), ',', '') AS DECIMAL(18, 4)) AS v, regexp_extract(subject, '{text.DEAL}', 3) AS u FROM {FIRST} WHERE regexp_matches(subject, '{text.DEAL}')) GROUP BY company""")
 def deal_rows(spark, at):
-    m = messages(spark, at, "subject").filter(F.col("subject").rlike(r"(\w+)’s \$(\d+)M bet"))
-    part = lambda i: F.regexp_extract("subject", r"(\w+)’s \$(\d+)M bet", i)
-    return m.select(part(1).alias("company"), part(2).cast("long").alias("a")).groupBy("company").agg(F.count(F.lit(1)).alias("deals"), F.sum("a").alias("amount_m"))
+    m = messages(spark, at, "subject").filter(F.col("subject").rlike(text.DEAL)).select(text.subject_deal(F.col("subject")).alias("d"))
+    return m.groupBy("d.company").agg(F.count(F.lit(1)).alias("deals"), F.sum("d.amount").cast("long").alias("amount"))
 
 
 @query(r"""SELECT minutes, count(*) AS issues FROM (SELECT CAST(regexp_extract(body, '(?i)\b(\d+) min(?:ute)? read\b', 1) AS BIGINT) AS minutes FROM full_message WHERE regexp_matches(body, '(?i)\b(\d+) min(?:ute)? read\b')) GROUP BY minutes""")
@@ -212,13 +223,15 @@ def inter_arrival(spark, at):
     return timelines.gaps(table(spark, at, "message_summary").select(sender_address("from_h").alias("sender"), "ingested_at"), "sender", F.to_date("ingested_at"))
 
 
-@query(f"""WITH m AS (SELECT {SENDER} AS sender, CAST(ingested_at AT TIME ZONE 'UTC' AS DATE) AS d FROM message_summary), l AS (SELECT sender, count(*) AS n, max(d) AS last_day FROM m GROUP BY sender), z AS (SELECT max(d) AS today FROM m)
-    SELECT sender, last_day, date_diff('day', last_day, today) AS silent_days FROM l, z WHERE n >= 5 AND date_diff('day', last_day, today) > 30""")
+@query(f"""WITH m AS (SELECT {SENDER} AS sender, CAST(ingested_at AT TIME ZONE 'UTC' AS DATE) AS d FROM message_summary), l AS (SELECT sender, count(DISTINCT d) AS n, min(d) AS first_day, max(d) AS last_day FROM m GROUP BY sender), z AS (SELECT max(d) AS today FROM m)
+    SELECT sender, last_day, round(date_diff('day', first_day, last_day) / (n - 1), 6) AS cadence_days, date_diff('day', last_day, today) AS silent_days FROM l, z WHERE n >= 5 AND date_diff('day', last_day, today) > 3 * date_diff('day', first_day, last_day) / (n - 1)""")
 def silence_alerts(spark, at):
+    """Senders that have been silent for longer than three times their own cadence, the mean days between their arrivals."""
     m = table(spark, at, "message_summary").select(sender_address("from_h").alias("sender"), F.to_date("ingested_at").alias("d"))
     today = m.agg(F.max("d")).scalar()
-    last = m.groupBy("sender").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("last_day")).filter("n >= 5")
-    return last.select("sender", "last_day", F.datediff(today, "last_day").cast("long").alias("silent_days")).filter("silent_days > 30")
+    last = m.groupBy("sender").agg(F.count_distinct("d").alias("n"), F.min("d").alias("first_day"), F.max("d").alias("last_day")).filter("n >= 5")
+    cadence = F.datediff("last_day", "first_day") / (F.col("n") - 1)
+    return last.select("sender", "last_day", cadence.alias("c"), F.datediff(today, "last_day").cast("long").alias("silent_days")).filter("silent_days > 3 * c").withColumn("cadence_days", F.round("c", 6)).drop("c")
 
 
 @query(rf"""SELECT count(*) AS messages, count(*) FILTER (WHERE contains(f.body, m.snippet) AND length(m.snippet) > 0) AS verified FROM full_message f JOIN {FIRST} m ON m.k = lower(f.msg_id)""")
@@ -257,23 +270,24 @@ def _any_sql(c: str, words: tuple[str, ...]) -> str:
     return "(" + " OR ".join(f"contains(lower({c}), '{w}')" for w in words) + ")"
 
 
+_BODIES = f"(SELECT msg_id, body FROM full_message UNION ALL SELECT msg_id, body FROM {X.SIGNAL_PAGES.sql()})"
+
+
 @query(f"""SELECT msg_id, {_any_sql('body', routing.ROBOT_TEST)} AS robot_test, list_min(list_filter([{', '.join(f"strpos(lower(body), '{w}')" for w in routing.PAYWALL)}], lambda x: x > 0)) AS paywall_cut_at
-    FROM full_message WHERE {_any_sql('body', routing.ROBOT_TEST + routing.PAYWALL)}""")
+    FROM {_BODIES} WHERE {_any_sql('body', routing.ROBOT_TEST + routing.PAYWALL)}""")
 def page_signals(spark, at):
-    m = table(spark, at, "full_message").filter(routing.signal(F.col("body"), routing.ROBOT_TEST + routing.PAYWALL))
+    """Over all bodies and a few stated pages, as the tables hold neither a robot test nor a paywall."""
+    m = table(spark, at, "full_message").select("msg_id", "body").unionByName(X.SIGNAL_PAGES.spark(spark)).filter(routing.signal(F.col("body"), routing.ROBOT_TEST + routing.PAYWALL))
     return m.select("msg_id", routing.signal(F.col("body"), routing.ROBOT_TEST).alias("robot_test"), routing.paywall_cut(F.col("body")).cast("long").alias("paywall_cut_at"))
 
 
-_PLATFORMS = ("quillpost.example", "letterloft.example")
-
-
 @query(f"""WITH w AS (SELECT max(run_at) AS since FROM sync_log WHERE status = 'ok' AND batch_id <= (SELECT max(batch_id) - 5 FROM message_summary)), m AS (SELECT {K} AS msg_id, {SENDER} AS sender, ingested_at, batch_id FROM message_summary), z AS (SELECT max(batch_id) AS last FROM m),
-    fresh AS (SELECT * FROM m, w, z WHERE ingested_at > since - INTERVAL 2 DAY AND batch_id > last - 5 AND regexp_extract(sender, '@(.*)$', 1) IN {_PLATFORMS})
+    fresh AS (SELECT * FROM m, w, z WHERE ingested_at > since - INTERVAL 2 DAY AND batch_id > last - 5 AND sender IN (SELECT sender FROM m, z WHERE batch_id <= last - 5))
     SELECT msg_id, arg_min(sender, ingested_at) AS sender, epoch_us(min(ingested_at)) AS first_us FROM fresh WHERE msg_id NOT IN (SELECT msg_id FROM m, z WHERE batch_id <= last - 5) GROUP BY msg_id""")
 def incremental_ingest(spark, at):
     m = table(spark, at, "message_summary").select(canonical_id("msg_id").alias("msg_id"), sender_address("from_h").alias("sender"), F.col("ingested_at").cast("timestamp").alias("ingested_at"), "batch_id")
     last = m.agg(F.max("batch_id")).first()[0] or 0
-    roster = m.select("sender").distinct().filter(text.domain_of(F.col("sender")).isin(*_PLATFORMS))
+    roster = m.filter(F.col("batch_id") <= last - 5).select("sender")
     runs = table(spark, at, "sync_log").filter(F.col("batch_id") <= last - 5).withColumn("run_at", F.col("run_at").cast("timestamp"))
     new = ingest.incremental(m.filter(F.col("batch_id") > last - 5), roster, m.filter(F.col("batch_id") <= last - 5), "msg_id", "sender", "ingested_at", ingest.watermark(runs))
     return new.select("msg_id", "sender", F.unix_micros("ingested_at").alias("first_us"))
@@ -285,36 +299,8 @@ def sender_hosts(spark, at):
     return m.groupBy(F.regexp_extract("s", "@(.*)$", 1).alias("host")).agg(F.count(F.lit(1)).alias("messages"), F.count_distinct("s").alias("senders"))
 
 
-@query(rf"""SELECT name, count(*) AS items, count(DISTINCT s) AS sources, count(DISTINCT s) = 1 AS single_source, max(pct) AS top_pct FROM (SELECT {SENDER} AS s, regexp_extract(subject, '(\w+) soars (\d+)%', 1) AS name, CAST(regexp_extract(subject, '(\w+) soars (\d+)%', 2) AS BIGINT) AS pct FROM {FIRST} WHERE regexp_matches(subject, '(\w+) soars (\d+)%')) GROUP BY name""")
+@query(f"SELECT name, count(*) AS items, count(DISTINCT s) AS sources, max(p) AS top_pct, min(p) AS low_pct, count(DISTINCT s) = 1 AS single_source FROM (SELECT *, CASE WHEN {_DOWN_SQL} THEN -v ELSE v END AS p FROM {_MOVES}) GROUP BY name")
 def hype_flags(spark, at):
-    m = messages(spark, at, "from_h", "subject").filter(F.col("subject").rlike(r"(\w+) soars (\d+)%"))
-    part = lambda i: F.regexp_extract("subject", r"(\w+) soars (\d+)%", i)
-    x = m.select(sender_address("from_h").alias("s"), part(1).alias("name"), part(2).cast("long").alias("pct"))
-    return x.groupBy("name").agg(F.count(F.lit(1)).alias("items"), F.count_distinct("s").alias("sources"), F.max("pct").alias("top_pct")).withColumn("single_source", F.col("sources") == 1)
-
-
-# ---- the whole of queries whose SQL keeps one form
-
-
-def _all(f):
-    QUERIES[f.__name__] = f
-    return f
-
-
-@_all
-def all_subject_topics(spark, at):
-    m = messages(spark, at, "subject")
-    return m.select(F.col("k").alias("msg_id"), F.posexplode(text.listed_topics(F.col("subject"))).alias("topic_no", "topic"))
-
-
-@_all
-def all_mover_rows(spark, at):
-    m = messages(spark, at, "subject").filter(F.contains("subject", F.lit("%")))
-    return m.select(F.col("k").alias("msg_id"), F.posexplode(text.movers(F.col("subject"))).alias("mover_no", "m")).select("msg_id", "mover_no", "m.*")
-
-
-@_all
-def all_hype_flags(spark, at):
     m = messages(spark, at, "from_h", "subject").filter(F.contains("subject", F.lit("%"))).select(sender_address("from_h").alias("s"), F.explode(text.movers(F.col("subject"))).alias("m")).select("s", "m.*")
     x = m.groupBy("name").agg(F.count(F.lit(1)).alias("items"), F.count_distinct("s").alias("sources"), F.max("pct").alias("top_pct"), F.min("pct").alias("low_pct"))
     return x.withColumn("single_source", F.col("sources") == 1)

@@ -138,8 +138,8 @@ def test_every_edition_is_numbered(spark, tmp_path):
 
     rows = [(1, "a", "3-Legal", "2025-01-02", 5, "teaser"), (2, "a", "3-Legal", "2025-01-01", 6, "article"), (3, "a", "1-Tech", "2025-01-03", 7, "article"), (4, "a", None, "2025-01-03", 8, "article"), (5, "a", None, "2025-01-03", 9, "teaser"), (6, None, "1-Tech", "2025-01-01", 1, "article")]
     spark.createDataFrame(rows, "doc_id bigint, source string, segment string, d string, n_chars bigint, content_shape string").selectExpr("*", "CAST(d AS date) AS issue_date").write.parquet(str(tmp_path / "documents.parquet"))
-    assert sorted((r.doc_id, r.issue_no) for r in Q.edition_issue_numbers(spark, str(tmp_path)).collect()) == [(1, 2), (2, 1), (3, 1), (4, 1), (5, 2)]
-    assert {r.segment: r.issue.count("doc_id") for r in Q.full_issue_json(spark, str(tmp_path)).collect()} == {"3-Legal": 2, "1-Tech": 2}
+    assert sorted((r.doc_id, r.issue_no) for r in Q.issue_numbers(spark, str(tmp_path)).collect()) == [(1, 2), (2, 1), (3, 1), (4, 1), (5, 2)]
+    assert {(r.segment, str(r.issue_date)): r.issue.count("doc_id") for r in Q.issue_json(spark, str(tmp_path)).collect()} == {("3-Legal", "2025-01-02"): 1, ("3-Legal", "2025-01-01"): 1, ("1-Tech", "2025-01-03"): 1}
 
 
 def test_later_entities_and_those_of_the_body_link(spark, tmp_path):
@@ -147,7 +147,7 @@ def test_later_entities_and_those_of_the_body_link(spark, tmp_path):
 
     rows = [(1, "Amber meets Copper\nand then Ledger, xLedger"), (2, "Granite buys Copper"), (3, "Nothing\nLedger and Ledger"), (4, None), (5, "xLedger Ledgeré")]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    assert sorted(tuple(r) for r in Q.all_entity_links(spark, str(tmp_path)).select("a", "b", "entity").collect()) == [(1, 2, "Copper"), (1, 3, "Ledger")]
+    assert sorted(tuple(r) for r in Q.entity_links(spark, str(tmp_path)).select("a", "b", "entity").collect()) == [(1, 2, "Copper"), (1, 3, "Ledger")]
 
 
 def test_names_of_any_ending_are_counted(spark, tmp_path):
@@ -155,4 +155,4 @@ def test_names_of_any_ending_are_counted(spark, tmp_path):
 
     rows = [(1, "When Siemens met Müller. Then Siemens left.\nAgain “Quokelo” won"), (2, "“Still” at Siemens"), (3, None)]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    assert sorted(tuple(r) for r in Q.all_entity_mentions(spark, str(tmp_path)).collect()) == [("Müller", 1, 1), ("Quokelo", 1, 1), ("Siemens", 2, 3)]
+    assert sorted(tuple(r) for r in Q.entity_mentions(spark, str(tmp_path)).collect()) == [("Müller", 1, 1), ("Quokelo", 1, 1), ("Siemens", 2, 3)]
