@@ -280,3 +280,33 @@ def holds_any(c: Column, words: list[str]) -> Column:
 def cells_text(paragraphs: Column) -> Column:
     """Rows of cells as text: cells joined by tabs, rows by line breaks."""
     return F.array_join(F.transform(paragraphs, lambda row: F.array_join(row, "\t")), "\n")
+
+
+# ---- evidence in headers, structured values
+
+
+def exact_header(block: Column, name: str) -> Column:
+    """As `header`, but the name must have the very case; empty if there is none."""
+    return F.trim(F.regexp_extract(block, rf"(?m)^{name}:[ \t]*([^\r\n]*)$", 1))
+
+
+def sending_platform(block: Column) -> Column:
+    """The domain that signed or sent a message: of DKIM, else of SPF, else of the ARC results; lower case, null without any."""
+    of = lambda p: F.nullif(F.lower(F.regexp_extract(block, p, 1)), F.lit(""))
+    return F.coalesce(of(r"(?im)^DKIM-Signature:[^\r\n]*\bd=([a-z0-9.-]+)"), of(r"(?im)^Received-SPF: *pass[^\r\n]*domain of [^@\s)]*@?([a-z0-9.-]+)"), of(r"(?im)^ARC-Authentication-Results:[^\r\n]*\bsmtp\.mailfrom=(?:[^@\s;]*@)?([a-z0-9.-]+)"))
+
+
+def payload_value(payload: Column, path: str, kind: str) -> Column:
+    """A typed value of a JSON payload; null where the payload is broken, the path absent or the value of another type."""
+    return F.try_variant_get(F.try_parse_json(payload), path, kind)
+
+
+def filled_emails(attendees: Column) -> Column:
+    """The addresses of a JSON list of attendees, without the empty ones; an empty array for anything else."""
+    parsed = F.from_json(attendees, "array<struct<email string>>")
+    return F.coalesce(F.filter(F.transform(parsed, lambda a: a["email"]), lambda e: e != ""), F.array().cast("array<string>"))
+
+
+def link_state(status: Column, took_ms: Column, limit_ms: int = 5000) -> Column:
+    """`ok` for 2xx and 3xx in time, `slow` beyond it, `dead` for other answers, `unchecked` without one."""
+    return F.when(status.isNull(), "unchecked").when(~status.between(200, 399), "dead").when(took_ms > limit_ms, "slow").otherwise("ok")

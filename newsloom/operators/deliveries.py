@@ -76,3 +76,11 @@ def surplus(df: DataFrame, key: str = "msg_id", order: str = "delivery_id") -> D
     ties = rows.filter(F.col(ORDER).eqNullSafe(F.col(FIRST))).groupBy(KEY, ORDER).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     tied = ties.withColumn("_", F.explode(F.expr("sequence(2, n)"))).select(KEY, ORDER)
     return later.unionByName(tied).select(F.col(KEY).alias(key), F.col(ORDER).alias(order))
+
+
+def alias_groups(messages: DataFrame, key: str, message_id: str, *content: str) -> DataFrame:
+    """(kept, copies): messages that are one although their keys differ, by Message-ID or, where there is none, by their content
+    (sender, subject, date); the smallest key is kept. Null contents are equal to each other and to empty ones."""
+    texts = F.concat_ws("\u0001", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in content))
+    group = F.coalesce(F.nullif(F.trim(message_id), F.lit("")), F.sha2(texts, 256))
+    return messages.groupBy(group.alias("_g")).agg(F.min(key).alias("kept"), F.count(F.lit(1)).alias("copies")).drop("_g")

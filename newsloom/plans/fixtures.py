@@ -49,6 +49,49 @@ RAW_MAIL = Fixture(
         ("m4", ""),
     ],
 )
+SENDER_ROUTES = Fixture(
+    "rank bigint, value string, segment string",
+    [(1, "hello@saffronabacus.example", "4-HRPeopleOps"), (2, "saffronabacus.example", "2-BizFinance"), (3, "jundolonews.example", "3-Legal"), (4, "rassonix.example", "7-Absurdist"), (5, "mailhop.example", "9-MainstreamNews"), (6, "", "none")],
+)
+ROSTER = Fixture(
+    "source_id bigint, sender_match string, alias_match string",
+    [(1, "em1014@mailhop.example", None), (2, "mailhop.example", None), (3, "saffronabacus.example", ""), (4, "code@wenkeviknews.example", "w"), (5, "code@wenkeviknews.example", None), (6, "letterloft.example", None), (7, None, None), (8, "", None)],
+)
+ALIAS_MAIL = Fixture(
+    "msg_id string, message_id string, sender string, subject string, sent string",
+    [
+        ("a1", "<1@x.example>", "ann@x.example", "Chips", "2025-01-06"), ("a2", "<1@x.example>", "ann+w@x.example", "Fwd: Chips", "2025-01-07"), ("a3", None, "bob@y.example", "Rates", "2025-01-06"), ("a4", "", "bob@y.example", "Rates", "2025-01-06"),
+        ("a5", None, "bob@y.example", "Rates", "2025-01-08"), ("a6", None, None, None, None), ("a7", None, None, None, None), ("a8", "<2@x.example>", "bob@y.example", "Rates", "2025-01-06"),
+    ],
+)
+AUTH_MAIL = Fixture(
+    "msg_id string, raw string",
+    [
+        ("h1", "DKIM-Signature: v=1; a=rsa-sha256; d=quillpost.example; s=k1\nSubject: One\nsubject: lower\nReceived-SPF: pass (domain of bounce@hop.example)\n\nbody"), ("h2", "ARC-Authentication-Results: i=1; mx.example; spf=pass smtp.mailfrom=letterloft.example\nsubject: only lower\n\nx"),
+        ("h3", "Received-SPF: pass (mx: domain of news@corp.example designates) client-ip=1\nSubject:\n\nx"), ("h4", "Subject: none\n\nDKIM-Signature: d=body.example"), ("h5", ""), ("h6", None),
+    ],
+)
+CLI_ARGS = Fixture("n bigint, line string", [(1, "--to=a@x.example --dry-run --where=a=b list"), (2, "plain"), (3, "--k=1 --k=2 --empty="), (4, ""), (5, None)])
+MODULES = Fixture(
+    "module_id bigint, type string, payload string",
+    [(1, "number", '{"value": 81.5, "unit": "%"}'), (2, "mover", '{"name": "Acme", "pct": -3.5}'), (3, "repo", '{"name": "a/b", "stars": 120}'), (4, "mover", "broken"), (5, "mover", '{"name": "Zed"}'), (6, "quote", None)],
+)
+ATTENDEES = Fixture("event_id bigint, attendees string", [(1, '[{"email": "a@x.example"}, {"email": ""}, {"name": "no mail"}]'), (2, "[]"), (3, None), (4, "broken")])
+CARD_EVIDENCE = Fixture(
+    "fact_id bigint, evidence string, section string",
+    [
+        (1, "rose 12% to $81B", "Output rose 12% to $81B in May."), (2, "Rose  12%", "Output rose 12% to $81B in May."), (3, "“calm” markets", 'A day of "calm" markets'), (4, "never said", "Something else"), (5, "", "x"), (6, None, "x"), (7, "word " * 26, "word " * 40), (8, "said", None),
+    ],
+)
+STATUSES = Fixture("link_id bigint, http_status bigint, checked_ms bigint", [(1, 200, 120), (2, 301, 4000), (3, 404, 90), (4, 200, 9000), (5, None, None), (6, 500, 10), (7, 399, 5000)])
+TOKENS = Fixture("token string, issued string", [("a", "2025-01-01"), ("b", "2025-01-05"), ("c", None), ("d", "2025-01-07")])
+FULL_EXTRACTIONS = Fixture(
+    "msg_id string, payload string",
+    [
+        ("m1", '{"claims": [{"claim_text": "rates fall", "claim_type": "prediction"}], "quotes": [{"quote_text": "we wait", "speaker": "Ann"}], "links": [{"url": "https://a.example"}, {"url": "https://b.example"}], "entities": [{"name": "Acme"}], "stats": [{"value": "12", "unit": "%"}], "topics": [{"topic": "rates"}, {"topic": "chips"}]}'),
+        ("m2", '{"claims": [], "links": null, "topics": [{"topic": "law"}]}'), ("m3", '{"claims": [{"cut'), ("m4", ""), ("m5", None),
+    ],
+)
 SIGNAL_PAGES = Fixture(
     "msg_id string, body string",
     [("p1", "Please solve this reCAPTCHA to go on"), ("p2", "The week in chips. Upgrade to read on; become a member."), ("p3", "Bot check, then subscribe to read"), ("p4", "nothing of the kind"), ("p5", None)],
