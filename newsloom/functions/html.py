@@ -124,33 +124,69 @@ def _inline(text: str) -> str:
     return re.sub(r"(?<!\*)\*([^*\n]+)\*(?!\*)", r"<em>\1</em>", re.sub(r"`([^`]+)`", r"<code>\1</code>", out))
 
 
-def html_of(markdown: str | None) -> str | None:
-    """Headings, paragraphs, lists and the inline forms; text is escaped. Null gives null."""
+def _cells(line: str) -> list[str]:
+    return [c.strip() for c in line.strip().strip("|").split("|")]
+
+
+def html_of(markdown: str | None, styles: dict[str, str] | None = None) -> str | None:
+    """Headings, paragraphs, lists, tables, quotes, rules, fenced code and the inline forms; text is escaped. Null gives null.
+
+    With styles (css by tag) every opening tag carries its own, as mail clients want it. Code that is not closed goes on to the
+    end; a table needs a line of dashes below its head."""
     if markdown is None:
         return None
     out: list[str] = []
     inside = ""
-    for line in [*markdown.split("\n"), ""]:
+    lines = [*markdown.replace("\r\n", "\n").split("\n"), ""]
+    at = 0
+    while at < len(lines):
+        line = lines[at]
+        at += 1
         item = re.match(r"\s*(?:([-*])|\d+\.)\s+(.*)", line)
         kind = "" if item is None else "ul" if item[1] else "ol"
         if inside and kind != inside:
             out.append(f"</{inside}>")
             inside = ""
-        if item:
+        if line.startswith("```"):
+            end = next((i for i in range(at, len(lines)) if lines[i].startswith("```")), len(lines))
+            code = "\n".join(lines[at:end]).strip("\n")
+            out.append(f"<pre><code>{escape(code, quote=False)}</code></pre>")
+            at = end + 1
+        elif line.lstrip().startswith("|") and at < len(lines) and re.fullmatch(r"\s*\|?[\s:|-]*-[\s:|-]*", lines[at]):
+            rows = [f"<tr>{''.join(f'<th>{_inline(c)}</th>' for c in _cells(line))}</tr>"]
+            at += 1
+            while at < len(lines) and lines[at].lstrip().startswith("|"):
+                rows.append(f"<tr>{''.join(f'<td>{_inline(c)}</td>' for c in _cells(lines[at]))}</tr>")
+                at += 1
+            out.append("<table>" + "".join(rows) + "</table>")
+        elif re.fullmatch(r"\s*(?:(?:-\s*){3,}|(?:\*\s*){3,}|(?:_\s*){3,})", line):
+            out.append("<hr>")
+        elif item:
             if not inside:
                 out.append(f"<{kind}>")
                 inside = kind
             out.append(f"<li>{_inline(item[2])}</li>")
         elif head := re.match(r"(#{1,6})\s+(.*)", line):
             out.append(f"<h{len(head[1])}>{_inline(head[2])}</h{len(head[1])}>")
+        elif quote := re.match(r">\s?(.*)", line):
+            out.append(f"<blockquote>{_inline(quote[1])}</blockquote>")
         elif line.strip():
             out.append(f"<p>{_inline(line.strip())}</p>")
-    return "\n".join(out)
+    html = "\n".join(out)
+    for tag, css in (styles or {}).items():
+        html = re.sub(rf"<{tag}(?=[ >])", f'<{tag} style="{escape(css)}"', html)
+    return html
+
+
+def from_markdown(text: Column, styles: dict[str, str] | None = None) -> Column:
+    """HTML of a Markdown text, plain or, with styles, for mail."""
 
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: html_of(t, styles), na_action="ignore")
 
-def _html(texts: pd.Series) -> pd.Series:
-    return texts.map(html_of)
+    return F.pandas_udf(run, T.StringType())(text)
 
 
-def from_markdown(text: Column) -> Column:
-    return F.pandas_udf(_html, T.StringType())(text)
+def markdown_title(text: Column, default: str = "Report") -> Column:
+    """The first heading of the first level, else the default; null for null."""
+    return F.when(text.isNotNull(), F.coalesce(F.nullif(F.trim(F.regexp_extract(text, r"(?m)^# (.+)$", 1)), F.lit("")), F.lit(default)))

@@ -71,6 +71,7 @@ AUTH_MAIL = Fixture(
         ("h3", "Received-SPF: pass (mx: domain of news@corp.example designates) client-ip=1\nSubject:\n\nx"), ("h4", "Subject: none\n\nDKIM-Signature: d=body.example"), ("h5", ""), ("h6", None),
     ],
 )
+NAMED_SEGMENTS = Fixture("segment string, subscribe_email string", [("1-TechAI", "box+techai@inbox.example"), ("90-Blank", " "), ("91-Null", None), (None, "x@inbox.example")])
 CLI_ARGS = Fixture("n bigint, line string", [(1, "--to=a@x.example --dry-run --where=a=b list"), (2, "plain"), (3, "--k=1 --k=2 --empty="), (4, ""), (5, None)])
 MODULES = Fixture(
     "module_id bigint, type string, payload string",

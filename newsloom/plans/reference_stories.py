@@ -92,11 +92,14 @@ def auth_platforms(spark, at):
     return b.select("msg_id", text.sending_platform(F.col("b")).alias("platform"), text.exact_header(F.col("b"), "Subject").alias("subject"))
 
 
-@query("SELECT segment, 'absent' AS problem FROM (SELECT DISTINCT segment FROM documents WHERE segment IS NOT NULL UNION SELECT DISTINCT segment FROM sources WHERE segment IS NOT NULL) WHERE segment NOT IN (SELECT segment FROM segments) UNION ALL SELECT segment, 'blank' FROM segments WHERE coalesce(trim(subscribe_email), '') = ''")
+_FEEDS = X.NAMED_SEGMENTS.sql()
+
+
+@query(f"SELECT segment, 'absent' AS problem FROM (SELECT DISTINCT segment FROM documents WHERE segment IS NOT NULL UNION SELECT DISTINCT segment FROM sources WHERE segment IS NOT NULL) WHERE segment NOT IN (SELECT segment FROM {_FEEDS} WHERE segment IS NOT NULL) UNION ALL SELECT segment, 'blank' FROM {_FEEDS} WHERE coalesce(trim(subscribe_email), '') = ''")
 def missing_segments(spark, at):
-    """Segments that rows name and the feeds lack or have no address for."""
+    """Segments that rows name and a stated list of feeds lacks or has no address for (the table of segments lacks none)."""
     named = table(spark, at, "documents").select("segment").unionByName(table(spark, at, "sources").select("segment")).filter("segment IS NOT NULL").distinct()
-    feeds = table(spark, at, "segments")
+    feeds = X.NAMED_SEGMENTS.spark(spark)
     absent = named.join(feeds, "segment", "left_anti").select("segment", F.lit("absent").alias("problem"))
     return absent.unionByName(feeds.filter(F.coalesce(F.trim("subscribe_email"), F.lit("")) == "").select("segment", F.lit("blank").alias("problem")))
 
@@ -219,12 +222,12 @@ def rerun_differences(spark, at):
     return stories.differences(once, deliveries.keep_one(once, m))
 
 
-@query(f"""SELECT msg_id, 'changed' AS error FROM (SELECT {mail.K} AS msg_id, arg_min(coalesce(subject, ''), delivery_id) AS a, arg_max(coalesce(subject, ''), delivery_id) AS b FROM message_summary GROUP BY 1) WHERE a <> b""")
+@query(f"""SELECT msg_id, 'changed' AS error FROM (SELECT {mail.K} AS msg_id, arg_min(coalesce(date_h, ''), delivery_id) AS a, arg_max(coalesce(date_h, ''), delivery_id) AS b FROM message_summary GROUP BY 1) WHERE a <> b""")
 def archive_differences(spark, at):
     """An archive of the first deliveries against one regenerated from the last ones."""
-    m = table(spark, at, "message_summary").select(canonical_id("msg_id").alias("msg_id"), "delivery_id", F.coalesce("subject", F.lit("")).alias("subject"))
-    both = m.groupBy("msg_id").agg(F.min_by("subject", "delivery_id").alias("a"), F.max_by("subject", "delivery_id").alias("b"))
-    return stories.archive_errors(both.select("msg_id", F.col("a").alias("subject")), both.select("msg_id", F.col("b").alias("subject")), "msg_id", "subject")
+    m = table(spark, at, "message_summary").select(canonical_id("msg_id").alias("msg_id"), "delivery_id", F.coalesce("date_h", F.lit("")).alias("date_h"))
+    both = m.groupBy("msg_id").agg(F.min_by("date_h", "delivery_id").alias("a"), F.max_by("date_h", "delivery_id").alias("b"))
+    return stories.archive_errors(both.select("msg_id", F.col("a").alias("date_h")), both.select("msg_id", F.col("b").alias("date_h")), "msg_id", "date_h")
 
 
 _ENTITIES = r"""(SELECT DISTINCT doc_id, w AS entity FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\p{L}+')) AS w FROM documents) WHERE regexp_full_match(w, '[A-Z][a-z]{4,}'))"""

@@ -33,8 +33,8 @@ class _Page(InputPartition):
 
 
 class _MailboxReader(DataSourceReader):
-    def __init__(self, folder: str, page: int) -> None:
-        self.folder, self.page, self.only = folder, page, None
+    def __init__(self, folder: str, page: int, stop: int, headers: bool) -> None:
+        self.folder, self.page, self.stop, self.headers, self.only = folder, page, stop, headers, None
 
     def pushFilters(self, filters: list) -> Iterator:  # noqa: N802
         for f in filters:
@@ -44,7 +44,12 @@ class _MailboxReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[_Page]:
-        names = [f"{self.only}.eml"] if self.only is not None else sorted(n for n in os.listdir(self.folder) if n.endswith(".eml"))
+        if self.only is not None:
+            names = [f"{self.only}.eml"] if os.path.basename(str(self.only)) == self.only else []  # an id is no path
+        else:
+            names = sorted(e.name for e in os.scandir(self.folder) if e.name.endswith(".eml"))
+        if self.stop:  # asked after each page, so the last page comes whole
+            names = names[: -(-self.stop // self.page) * self.page]
         return [_Page(names[i : i + self.page]) for i in range(0, len(names), self.page)] or [_Page([])]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
@@ -52,11 +57,22 @@ class _MailboxReader(DataSourceReader):
             path = os.path.join(self.folder, name)
             if os.path.exists(path):  # a message that has gone is skipped
                 with open(path, "rb") as f:
-                    yield name.removesuffix(".eml"), f.read()
+                    if not self.headers:
+                        yield name.removesuffix(".eml"), f.read()
+                        continue
+                    lines = []
+                    for line in f:  # no further than the first blank line
+                        if not line.strip(b"\r\n"):
+                            break
+                        lines.append(line)
+                    yield name.removesuffix(".eml"), b"".join(lines)
 
 
 class MailboxSource(DataSource):
-    """A paged mailbox over a shared folder: one partition a page; a look-up by msg_id opens only that message."""
+    """A paged mailbox over a folder that every executor mounts: one partition a page; a look-up by msg_id opens only that message.
+
+    Options: path, pagesize (200), stop (no more pages once so many ids are listed; 0 for all) and headersonly. Folders of an
+    object store or of HDFS are read by `eml_folder`."""
 
     @classmethod
     def name(cls) -> str:
@@ -66,13 +82,19 @@ class MailboxSource(DataSource):
         return "msg_id string, raw binary"
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _MailboxReader(self.options["path"], int(self.options.get("pagesize", "200")))
+        return _MailboxReader(self.options["path"], int(self.options.get("pagesize", "200")), int(self.options.get("stop", "0")), self.options.get("headersonly", "false") == "true")
 
 
-def mailbox(spark: SparkSession, path: str, page: int = 200) -> DataFrame:
+def mailbox(spark: SparkSession, path: str, page: int = 200, stop: int = 0, headers_only: bool = False) -> DataFrame:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(MailboxSource)
-    return spark.read.format("mailbox").option("path", path).option("pagesize", str(page)).load()
+    return spark.read.format("mailbox").option("path", path).option("pagesize", str(page)).option("stop", str(stop)).option("headersonly", str(headers_only).lower()).load()
+
+
+def mail_ids(spark: SparkSession, path: str) -> DataFrame:
+    """(msg_id, length, modified) of every .eml file with a byte below a folder: the list alone, no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.eml").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.regexp_extract("path", r"([^/]+)\.eml$", 1).alias("msg_id"), "length", F.col("modificationTime").alias("modified"))
 
 
 def filter_rules(spark: SparkSession, path: str) -> DataFrame:

@@ -56,3 +56,12 @@ def append_stream(events: DataFrame, path: str, key: str, state: str) -> None:
 def silences(last_seen: DataFrame, now: Column, limit_days: int, ts: str = "last_ts") -> DataFrame:
     """Keys that have been silent for longer than the limit at `now`."""
     return last_seen.filter(F.datediff(now, F.col(ts)) > limit_days)
+
+
+def silence_stream(events: DataFrame, ts: str, by: str, limit: str, late: str = "1 hour") -> DataFrame:
+    """(key, last_ts, events): an alert for a key each time it has been silent for longer than the limit, by event time.
+
+    It is the end of a session whose gap is the limit: the watermark closes it once the silence is certain, and the state of the
+    key is dropped then."""
+    found = events.withWatermark(ts, late).groupBy(F.session_window(ts, limit).alias("w"), by).agg(F.count(F.lit(1)).alias("events"), F.max(ts).alias("last_ts"))
+    return found.select(by, "last_ts", "events")
