@@ -147,15 +147,15 @@ def subject_topics(c: Column) -> Column:
     return F.when(F.contains(rest, F.lit(";")), F.filter(F.transform(F.split(rest, ";"), lambda x: F.trim(x)), lambda x: x != "")).otherwise(F.array().cast("array<string>"))
 
 
-_EMOJI = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}\x{FE0F}\x{200D}]+"
+EMOJI = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}\x{FE0F}\x{200D}]+"
 
 
 def listed_topics(c: Column) -> Column:
     """Topics of all list subjects: `a; b`, three or more between commas, `N: ` or `Plus! ` before a list, an emoji after each."""
     rest = F.regexp_replace(c, r"^(?:Fwd: )?(?:Plus!|(?:[^:;,]* )?\d+:) *", "")
     by = F.when(F.contains(rest, F.lit(";")), F.split(rest, ";")).when(rest.rlike(r",.*,") | ((rest != c) & F.contains(rest, F.lit(","))), F.split(rest, r",(?!\d{3}\b)"))
-    by = by.when(rest.rlike(rf"{_EMOJI}[^,;]*{_EMOJI}[^,;]*{_EMOJI}"), F.split(rest, _EMOJI))
-    clean = F.transform(by, lambda x: F.trim(F.regexp_replace(x, rf"^\s*and |{_EMOJI}", "")))
+    by = by.when(rest.rlike(rf"{EMOJI}[^,;]*{EMOJI}[^,;]*{EMOJI}"), F.split(rest, EMOJI))
+    clean = F.transform(by, lambda x: F.trim(F.regexp_replace(x, rf"^\s*and |{EMOJI}", "")))
     return F.coalesce(F.filter(clean, lambda x: x != ""), F.array().cast("array<string>"))
 
 
@@ -249,14 +249,26 @@ def strip_cells(n: Column, positions: Column) -> Column:
 
 
 def deal(c: Column) -> Column:
-    """`Acme, a Berlin-based maker of X, raised $12M in Series A funding led by Y` as (company, place, amount, round, lead); empty where not stated."""
+    """`Acme, a Berlin-based maker of X, raised $12M in Series A funding led by Y with participation from Z` as (company, place,
+    amount, round, lead, participants, sector); empty where not stated. The sector is the emoji before the line."""
     part = lambda p: F.trim(F.regexp_extract(c, p, 1))
     return F.struct(
         part(r"^\W*([^,:]+?)(?:,| raised| raises)").alias("company"), part(r", an? ([^,]+?)-based").alias("place"), part(r"(?i)rais(?:ed|es) ([$€£]\d[\d.,]* ?(?:[KMBT]|million|billion)?)").alias("amount"),
         part(r"(?i)\b((?:pre-)?seed|series [a-z])\b").alias("round"), part(r"(?i)led by ([^.,;]+)").alias("lead"),
+        part(r"(?i)(?:participation (?:from|by)|joined by|participants:) ([^.;]+)").alias("participants"), F.regexp_extract(c, rf"^\s*({EMOJI})", 1).alias("sector"),
     )
 
 
+def item_parts(c: Column) -> Column:
+    """An item's subhead after an ellipsis and its link to the whole story, as (subhead, more); empty where not stated."""
+    return F.struct(F.trim(F.regexp_extract(c, r"\n\s*(?:\.\.\.|…) *([^\n]+)", 1)).alias("subhead"), F.regexp_extract(c, r"(?i)(?:read more|full story|continue reading)[^\n]{0,40}?(https?://[^\s<>\"]+)", 1).alias("more"))
+
+
+def calendar_day(c: Column) -> Column:
+    """The date before the colon of a calendar line; null if it is no date."""
+    return F.try_to_date(F.nullif(F.regexp_extract(c, r"^\s*(\d{4}-\d{2}-\d{2}):", 1), F.lit("")))
+
+
 def repo(c: Column) -> Column:
     """`owner/name ★ 1,234` as (name, stars)."""
     return F.struct(F.regexp_extract(c, r"([\w.-]+/[\w.-]+)", 1).alias("name"), F.regexp_replace(F.regexp_extract(c, r"(?:★|⭐|stars:?) ?(\d[\d,]*)", 1), ",", "").try_cast("long").alias("stars"))

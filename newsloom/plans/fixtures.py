@@ -148,5 +148,6 @@ LINES = Fixture(
     "line_id bigint, line string",
     [
         (1, "Acme, a Berlin-based maker of chips, raised $12M in Series A funding led by Zed Capital."), (2, "owner/name.js ★ 1,234 – fast"), (3, "Tue: CPI · Fed minutes · "), (4, "Intro\nIn this issue:\n- one\n- two\n\nBody"), (5, "guaranteed gains, a revolutionary tool"), (6, ""), (7, None),
+        (8, "🧬 Zed raised €3.5B in Series C funding led by Amber Fund with participation from Calix, Orbel; done"), (9, "Chips are back\n… and dearer than before\nRead more: https://a.example/x?y=1"), (10, "2025-01-09: CPI · Fed minutes"), (11, "2025-13-09: no day"),
     ],
 )

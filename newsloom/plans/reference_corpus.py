@@ -8,7 +8,7 @@ from pyspark.sql import window as W
 from newsloom.functions import dates, html, text, urls
 from newsloom.operators import checks, coverage, pairs, selection, timelines
 from newsloom.plans import fixtures as X
-from newsloom.plans.durable import durable
+from newsloom.plans.durable import durable, join_counted
 from newsloom.sources import readers
 from newsloom.sources.tables import table
 from newsloom.streaming import windows
@@ -66,20 +66,30 @@ def lead_story(spark, at):
     return top.select("cluster_id", "first_id", "coverage_n", F.row_number().over(W.Window.orderBy(F.desc("coverage_n"), F.desc("size"), "cluster_id")).cast("long").alias("rank"))
 
 
-_SCORED = f"""(SELECT c.cluster_id, first_id, coverage_n, round(0.40 * coverage_n / roster_n + 0.25 * (coalesce(level * 2.0, 5.0) - 1) / 9 + 0.15 * greatest(0.0, least(1.0, 1 - age / 365.0)) - CASE WHEN age > 365 THEN 0.1 ELSE 0.0 END, 6) AS score
-    FROM {_CLUSTERS} c JOIN (SELECT cluster_id, avg(l.reading_level) AS level, min(date_diff('day', d.issue_date, z.today)) AS age FROM {_MEMBERS} JOIN documents d USING (doc_id) LEFT JOIN (SELECT doc_id, avg(reading_level) AS reading_level FROM reading_labels GROUP BY doc_id) l USING (doc_id),
+_QUALITY = f"(SELECT source, count(*) FILTER (WHERE n >= 2) / count(*) AS quality FROM (SELECT source, count(DISTINCT source) OVER (PARTITION BY cluster_id) AS n FROM {_MEMBERS}) GROUP BY source)"
+_SCORED = f"""(SELECT c.cluster_id, first_id, coverage_n, round(0.40 * coverage_n / roster_n + 0.25 * (coalesce(level * 2.0, 5.0) - 1) / 9 + 0.15 * greatest(0.0, least(1.0, 1 - age / 365.0)) + 0.10 * coalesce(quality, 0.0) + 0.10 * CASE WHEN sides >= 2 THEN 1.0 ELSE 0.0 END
+    - CASE WHEN age > 365 THEN 0.1 ELSE 0.0 END - CASE WHEN previews AND coverage_n <= 1 THEN 0.1 ELSE 0.0 END, 6) AS score
+    FROM {_CLUSTERS} c JOIN (SELECT cluster_id, avg(l.reading_level) AS level, avg(q.quality) AS quality, greatest(count(DISTINCT l.low), count(DISTINCT l.high), max(CASE WHEN l.low < l.high THEN 2 ELSE 0 END)) AS sides, bool_and(coalesce(d.content_shape = 'teaser', false)) AS previews, min(date_diff('day', d.issue_date, z.today)) AS age
+    FROM {_MEMBERS} m JOIN documents d USING (doc_id) LEFT JOIN (SELECT doc_id, avg(reading_level) AS reading_level, min(reading_level) AS low, max(reading_level) AS high FROM reading_labels GROUP BY doc_id) l USING (doc_id) LEFT JOIN {_QUALITY} q ON q.source = m.source,
     (SELECT max(issue_date) AS today FROM documents) z GROUP BY cluster_id) USING (cluster_id), (SELECT count(*) AS roster_n FROM {_ROSTER}))"""
 
 
 def _scored(spark, at):
     docs = table(spark, at, "documents")
-    m = _members(spark, at)
-    labels = table(spark, at, "reading_labels").groupBy("doc_id").agg(F.avg("reading_level").alias("level"))
-    aged = m.join(docs.select("doc_id", "issue_date"), "doc_id").join(labels, "doc_id", "left").groupBy("cluster_id").agg(F.avg("level").alias("level"), F.max("issue_date").alias("newest"))
+    m = durable(_members(spark, at))
+    cover = coverage.coverage(m, "doc_id", "source")
+    labels = table(spark, at, "reading_labels").groupBy("doc_id").agg(F.avg("reading_level").alias("level"), F.min("reading_level").alias("low"), F.max("reading_level").alias("high"))
+    # a source is as good as the share of its documents whose story others cover too
+    quality = m.join(cover.select("cluster_id", "coverage_n"), "cluster_id").groupBy("source").agg((F.count_if(F.col("coverage_n") >= 2) / F.count(F.lit(1))).alias("quality"))
+    each = m.join(docs.select("doc_id", "issue_date", "content_shape"), "doc_id").join(labels, "doc_id", "left").join(F.broadcast(quality), "source", "left")  # one row a source
+    sides = F.greatest(F.count_distinct("low"), F.count_distinct("high"), F.max(F.when(F.col("low") < F.col("high"), 2).otherwise(0)).cast("long"))
+    aged = each.groupBy("cluster_id").agg(F.avg("level").alias("level"), F.max("issue_date").alias("newest"), F.avg("quality").alias("quality"), sides.alias("sides"), F.bool_and(F.coalesce(F.col("content_shape") == "teaser", F.lit(False))).alias("previews"))
     today, roster_n = docs.agg(F.max("issue_date")).scalar(), docs.agg(F.count_distinct("source")).scalar()
-    c = coverage.coverage(m, "doc_id", "source").join(aged, "cluster_id").withColumn("roster_n", roster_n).withColumn("age", F.datediff(today, "newest"))
+    c = cover.join(aged, "cluster_id").withColumn("roster_n", roster_n).withColumn("age", F.datediff(today, "newest"))
     age = F.col("age")
-    s = selection.score(F.when(age > 365, 0.1).otherwise(0.0), coverage_norm=F.col("coverage_n") / F.col("roster_n"), relevance=selection.relevance(F.col("level") * 2.0), freshness=selection.freshness(age, 365))
+    penalty = F.when(age > 365, 0.1).otherwise(0.0) + F.when(F.col("previews") & (F.col("coverage_n") <= 1), 0.1).otherwise(0.0)
+    parts = {"coverage_norm": F.col("coverage_n") / F.col("roster_n"), "relevance": selection.relevance(F.col("level") * 2.0), "freshness": selection.freshness(age, 365), "source_quality": F.col("quality"), "split_bonus": F.when(F.col("sides") >= 2, 1.0).otherwise(0.0)}
+    s = selection.score(penalty, **parts)
     return c.select("cluster_id", "first_id", "coverage_n", F.round(s, 6).alias("score"))
 
 
@@ -289,6 +299,19 @@ def cosine_neighbours(spark, at):
     return pairs.cosine_neighbours(e, e.filter("vec_id % 100 = 0"), 0.3).withColumn("cosine", F.round("cosine", 4))
 
 
+@query(f"""WITH RECURSIVE e AS (SELECT a, b FROM {_PAIRS}), sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, seen) AS (SELECT a, a FROM sym UNION SELECT r.node, sym.b FROM r JOIN sym ON sym.a = r.seen), g AS (SELECT node, min(seen) AS component FROM r GROUP BY node),
+    c AS (SELECT d.doc_id, d.source, coalesce(g.component, h.class_id) AS story FROM {_HEADS} h JOIN (SELECT doc_id, source, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(regexp_extract(text, '^\\s*([^\\n]*)', 1)), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''))) AS tokens FROM documents) d USING (tokens) LEFT JOIN g ON g.node = h.class_id)
+    SELECT story, count(*) AS documents, count(DISTINCT source) AS coverage_n FROM c GROUP BY story""")
+def story_coverage(spark, at):
+    """Coverage of stories as groups of near headlines: equal ones are a class, near classes a component."""
+    sets, members = _heads(spark, at)
+    linked = pairs.components(pairs.jaccard_pairs(sets, 0.6)).select(F.col("node").alias("class_id"), "component")
+    m = durable(members.join(table(spark, at, "documents").select("doc_id", "source"), "doc_id"))
+    per = durable(m.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).join(linked, "class_id", "left").select("class_id", "n", F.coalesce("component", "class_id").alias("story")))
+    named = join_counted(m, per, "class_id", "n", per.agg(F.sum("n")).first()[0] or 0)
+    return named.groupBy("story").agg(F.count(F.lit(1)).alias("documents"), F.count_distinct("source").alias("coverage_n"))
+
+
 # ---- facts
 
 @query("""SELECT l_partkey, count(*) AS sources, min(v) AS lowest, max(v) AS highest FROM (SELECT l_partkey, l_suppkey, min(l_extendedprice / l_quantity) AS v FROM lineitem GROUP BY ALL) GROUP BY l_partkey HAVING count(*) > 1 AND max(v) > min(v) AND (max(v) - min(v)) / abs(min(v)) > 0.05""")
@@ -460,12 +483,13 @@ BANNED = ["revolutionary", "game-changing", "guaranteed", "unbelievable"]
 
 @query(rf"""SELECT line_id, trim(regexp_extract(line, '^\W*([^,:]+?)(?:,| raised| raises)', 1)) AS company, trim(regexp_extract(line, ', an? ([^,]+?)-based', 1)) AS place, trim(regexp_extract(line, '(?i)rais(?:ed|es) ([$€£]\d[\d.,]* ?(?:[KMBT]|million|billion)?)', 1)) AS amount,
     trim(regexp_extract(line, '(?i)\b((?:pre-)?seed|series [a-z])\b', 1)) AS round, trim(regexp_extract(line, '(?i)led by ([^.,;]+)', 1)) AS lead, TRY_CAST(replace(regexp_extract(line, '(?:★|⭐|stars:?) ?(\d[\d,]*)', 1), ',', '') AS BIGINT) AS stars,
-    array_to_string(list_filter(list_transform(string_split(regexp_replace(line, '^[^:]{{1,20}}: *', ''), '·'), lambda x: trim(x)), lambda x: x <> ''), ' | ') AS items, trim(regexp_extract(line, '(?is)(?:in this issue|in today.s issue|what''s inside|table of contents):?[ \t]*\n(.*?)(?:\n[ \t]*\n|$)', 1)) AS contents,
+    trim(regexp_extract(line, '(?i)(?:participation (?:from|by)|joined by|participants:) ([^.;]+)', 1)) AS participants, regexp_extract(line, '^\s*({text.EMOJI})', 1) AS sector, trim(regexp_extract(line, '\n\s*(?:\.\.\.|…) *([^\n]+)', 1)) AS subhead, regexp_extract(line, '(?i)(?:read more|full story|continue reading)[^\n]{{0,40}}?(https?://[^\s<>"]+)', 1) AS more,
+    TRY_CAST(regexp_extract(line, '^\s*(\d{{4}}-\d{{2}}-\d{{2}}):', 1) AS DATE) AS day, array_to_string(list_filter(list_transform(string_split(regexp_replace(line, '^[^:]{{1,20}}: *', ''), '·'), lambda x: trim(x)), lambda x: x <> ''), ' | ') AS items, trim(regexp_extract(line, '(?is)(?:in this issue|in today.s issue|what''s inside|table of contents):?[ \t]*\n(.*?)(?:\n[ \t]*\n|$)', 1)) AS contents,
     regexp_matches(line, '(?i)(?:^|[^\p{{L}}])(?:{'|'.join(BANNED)})(?:[^\p{{L}}]|$)') AS banned FROM {X.LINES.sql()}""")
 def structured_lines(spark, at):
     c = F.col("line")
-    x = X.LINES.spark(spark).select("line_id", text.deal(c).alias("d"), text.repo(c).getField("stars").alias("stars"), F.array_join(text.calendar_items(c), " | ").alias("items"), text.contents(c).alias("contents"), text.holds_any(c, BANNED).alias("banned"))
-    return x.select("line_id", "d.*", "stars", "items", "contents", "banned")
+    x = X.LINES.spark(spark).select("line_id", text.deal(c).alias("d"), text.repo(c).getField("stars").alias("stars"), F.array_join(text.calendar_items(c), " | ").alias("items"), text.contents(c).alias("contents"), text.holds_any(c, BANNED).alias("banned"), text.item_parts(c).alias("p"), text.calendar_day(c).alias("day"))
+    return x.select("line_id", "d.*", "p.*", "day", "stars", "items", "contents", "banned")
 
 
 #: Capitalised words of any script, less those that begin a line or sentence.

@@ -242,12 +242,18 @@ def snippet_evidence(spark, at):
     return found.agg(F.count(F.lit(1)).alias("messages"), F.count_if("verified").alias("verified"))
 
 
-_PARTS = r"regexp_split_to_array(replace(body, chr(13), ''), '\n(?:\*\*\*|• • •|─{4,})\n')"
+_DIVIDER = r"\n(?:\*\*\*|• • •|─{4,}|[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}\x{FE0F} ]{1,12})\n"
+_PARTS = rf"regexp_split_to_array(regexp_replace(replace(body, chr(13), ''), '\n(#{{1,6}} [^\n]+)', chr(10) || '***' || chr(10) || '\1', 'g'), '{_DIVIDER}')"
+
+
+def parts_of(body):
+    """The sections of a body: divided by rules, stars, dots and lines of emoji; a heading begins a section."""
+    return F.split(F.regexp_replace(F.replace(body, F.lit("\r"), F.lit("")), r"\n(#{1,6} [^\n]+)", "\n***\n$1"), _DIVIDER)
 
 
 @query(rf"""SELECT msg_id, CAST(count(*) AS BIGINT) AS sections, CAST(max(length(p)) AS BIGINT) AS longest FROM (SELECT msg_id, unnest({_PARTS}) AS p FROM full_message WHERE length(body) > 0) GROUP BY msg_id""")
 def section_split(spark, at):
-    m = table(spark, at, "full_message").filter(F.length("body") > 0).select("msg_id", F.posexplode(F.split(F.replace("body", F.lit("\r"), F.lit("")), r"\n(?:\*\*\*|• • •|─{4,})\n")).alias("seq", "p"))
+    m = table(spark, at, "full_message").filter(F.length("body") > 0).select("msg_id", F.posexplode(parts_of(F.col("body"))).alias("seq", "p"))
     return m.groupBy("msg_id").agg(F.count(F.lit(1)).alias("sections"), F.max(F.length("p")).cast("long").alias("longest"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsloom.functions import search, text, urls
+from newsloom.functions import jsons, search, text, urls
 from newsloom.operators import deliveries, routing, selection, stories
 from newsloom.plans import fixtures as X
 from newsloom.plans import reference_corpus as corpus
@@ -121,6 +121,30 @@ def retry_states(spark, at):
     return stories.retry_queue(table(spark, at, "sync_log").select(F.expr("batch_id DIV 4").alias("batch_id"), "run_at", "status"), "batch_id", "run_at", "status")
 
 
+@query("SELECT doc_id, row_number() OVER (ORDER BY coalesce(segment, ''), doc_id) AS place FROM documents")
+def segment_order(spark, at):
+    """The place of each document in the order of segments, with the id as the last resort."""
+    d = table(spark, at, "documents").select("doc_id", F.coalesce("segment", F.lit("")).alias("s"))
+    return selection.placed(d, [F.col("s"), F.col("doc_id")], "place").select("doc_id", "place")
+
+
+@query("SELECT source_id, coalesce(nullif(trim(publisher), ''), '(No publisher)') AS publisher, coalesce(subscriber_estimate, 0) AS subscribers, coalesce(TRY_CAST(regexp_extract(newsletter_name, '([0-9]+)', 1) AS BIGINT), -1) AS number FROM sources")
+def filled_sources(spark, at):
+    """Missing fields with their defaults, numbers in texts or a default."""
+    filled = F.coalesce(F.nullif(F.trim("publisher"), F.lit("")), F.lit("(No publisher)"))
+    number = F.coalesce(F.regexp_extract("newsletter_name", "([0-9]+)", 1).try_cast("long"), F.lit(-1))
+    return table(spark, at, "sources").select("source_id", filled.alias("publisher"), F.coalesce("subscriber_estimate", F.lit(0)).alias("subscribers"), number.alias("number"))
+
+
+@query(rf"""SELECT segment, count(*) AS issues, CAST(max(ingested_at) AS DATE) AS last_day FROM (SELECT m.ingested_at, {mail._DECODED} AS s, coalesce(g.segment, 'unmatched') AS segment FROM {mail.FIRST} m LEFT JOIN (SELECT regexp_extract(lower(subscribe_email), '\+([a-z]+)@', 1) AS tag, min(segment) AS segment FROM segments GROUP BY 1) g
+    ON g.tag = nullif(regexp_extract(lower(coalesce(nullif(trim(to_h), ''), nullif(trim(delivered_to), ''))), '\+([a-z]+)@', 1), '')) WHERE coalesce(trim(s), '') <> '' AND NOT regexp_matches(s, '{routing.CONFIRM.replace(chr(39), chr(39) * 2)}') GROUP BY segment""")
+def delivering_segments(spark, at):
+    """What is delivered to each segment: issues only, by their decoded subjects, wherever they lie."""
+    m = mail.messages(spark, at, "to_h", "delivered_to", "subject", "ingested_at").withColumn("s", mime.decode_words(F.col("subject"))).filter(routing.is_issue(F.col("s")) == 1)
+    routed = routing.by_tag(m, table(spark, at, "segments"), text.first_filled(F.col("to_h"), F.col("delivered_to")))
+    return routed.groupBy("segment").agg(F.count(F.lit(1)).alias("issues"), F.to_date(F.max("ingested_at")).alias("last_day"))
+
+
 # ---- sections and sponsors
 
 PARTNERS, REFERRALS = ("Quokelo", "Yarravik"), ("mailhop.example", "meadowfoundry.example")
@@ -134,7 +158,7 @@ _REASONS = "list_filter([" + ", ".join(f"CASE WHEN {mail._any_sql('section', tup
 def sections(spark, at):
     """(msg_id, seq, section, reasons): the parts of each body and why a part is an advertisement."""
     m = table(spark, at, "full_message").filter(F.length("body") > 0)
-    parts = m.select("msg_id", F.posexplode(F.split(F.replace("body", F.lit("\r"), F.lit("")), r"\n(?:\*\*\*|• • •|─{4,})\n")).alias("seq", "section"))
+    parts = m.select("msg_id", F.posexplode(mail.parts_of(F.col("body"))).alias("seq", "section"))
     return parts.withColumn("reasons", routing.sponsor_reasons(F.col("section"), PARTNERS, REFERRALS))
 
 
@@ -285,6 +309,13 @@ _CANON = r"""(SELECT doc_id, lower(start) || substring(head, length(start) + 1)
     list_sort(list_filter(string_split(CASE WHEN contains(bare, '?') THEN substring(bare, strpos(bare, '?') + 1) ELSE '' END, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(?:utm_[^=]*|gclid|fbclid|mc_cid|mc_eid)(?:=|$)'))) AS kept FROM (SELECT doc_id, regexp_replace(trim(url), '#.*$', '') AS bare FROM """ + corpus._URLS + """))))"""
 
 
+_BARE = "regexp_replace(trim({0}), '#.*$', '')"
+_HEAD = f"regexp_replace(string_split({_BARE}, '?')[1], '/+$', '')"
+_START = f"regexp_extract({_HEAD}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)', 1)"
+_KEPT = f"array_to_string(list_sort(list_filter(string_split(CASE WHEN contains({_BARE}, '?') THEN substring({_BARE}, strpos({_BARE}, '?') + 1) ELSE '' END, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(?:utm_[^=]*|gclid|fbclid|mc_cid|mc_eid)(?:=|$)'))), '&')"
+_CANON_OF = f"lower({_START}) || substring({_HEAD}, length({_START}) + 1) || CASE WHEN {_KEPT} <> '' THEN '?' || {_KEPT} ELSE '' END"
+
+
 @query(f"SELECT url, min(doc_id) AS first_id, count(*) AS links, count(DISTINCT doc_id) AS documents FROM {_CANON} GROUP BY url")
 def distinct_links(spark, at):
     """Links once each, after they have been brought to one form."""
@@ -304,6 +335,14 @@ def token_ages(spark, at):
     return X.TOKENS.spark(spark).select("token", age.alias("age"), F.coalesce(age >= 6, F.lit(True)).alias("renew"))
 
 
+@query(f"SELECT doc_id, url, CASE WHEN host IN ('go.example', 'meadowfoundry.example') THEN 'tracking' WHEN url <> canonical THEN 'not canonical' END AS problem FROM (SELECT u.doc_id, u.url, {corpus._HOST.replace('url', 'u.url')} AS host, {_CANON_OF.format('u.url')} AS canonical FROM {corpus._URLS} u) WHERE host IN ('go.example', 'meadowfoundry.example') OR url <> canonical")
+def link_problems(spark, at):
+    """Links that aren't in their one form, or go through a wrapper that hides their target."""
+    u = corpus.link_extract(spark, at)
+    problem = F.when(urls.is_tracking(F.col("url"), ["go.example", "meadowfoundry.example"]), "tracking").when(F.col("url") != urls.canonical(F.col("url")), "not canonical")
+    return u.withColumn("problem", problem).filter("problem IS NOT NULL")
+
+
 # ---- structured values
 
 SIX = {"claims": "claim_text", "quotes": "quote_text", "links": "url", "entities": "name", "stats": "value", "topics": "topic"}
@@ -321,6 +360,13 @@ def extraction_tables(spark, at):
     return out
 
 
+@query()
+def repaired_extractions(spark, at):
+    """Broken extractions after one repair; SQL has no such step, see the tests."""
+    fixed = X.FULL_EXTRACTIONS.spark(spark).select("msg_id", jsons.repair(F.col("payload")).alias("fixed"))
+    return fixed.select("msg_id", "fixed", F.from_json("fixed", EXTRACTION).getField("topics").getField("topic").alias("topics"))
+
+
 @query(f"SELECT module_id, CASE type WHEN 'number' THEN CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.unit') END ELSE CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.name') END END AS label, CASE WHEN json_valid(payload) THEN CAST(json_extract(payload, CASE type WHEN 'number' THEN '$.value' WHEN 'mover' THEN '$.pct' ELSE '$.stars' END) AS DOUBLE) END AS amount FROM {X.MODULES.sql()}")
 def module_payloads(spark, at):
     """Payloads whose fields depend on the module's type."""

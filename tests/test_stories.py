@@ -176,3 +176,24 @@ def test_no_hot_key_reaches_one_task(spark):
 def test_platforms_and_links(spark):
     assert spark.range(1).select(text.link_state(F.lit(None).cast("int"), F.lit(1)).alias("x")).first().x == "unchecked"
     assert spark.range(1).select(text.filled_emails(F.lit(None).cast("string")).alias("x")).first().x == []
+
+
+@pytest.mark.parametrize(
+    ("text_", "want"),
+    [
+        ('{"a": 1}', {"a": 1}), ('```json\n{"a": [1, 2,], }\n```', {"a": [1, 2]}), ('Sure: {"a": {"b": "x, }"}} done', {"a": {"b": "x, }"}}), ('{"a": [{"b": "cu', {"a": [{"b": "cu"}]}), ('{"a": 1, "b":', {"a": 1, "b": None}), ('{"a": 1, "b', {"a": 1}), ('{"a": 1,', {"a": 1}),
+        ('{"q": "say \\\\"hi\\\\""', {"q": 'say "hi"'}), ("none", None), ("", None), (None, None), ("{]", None),
+    ],
+)
+def test_json_repair(text_, want):
+    from newsloom.functions import jsons
+
+    fixed = jsons.repaired(text_.replace("\\\\", "\\") if text_ else text_)
+    assert (None if fixed is None else json.loads(fixed)) == want
+
+
+def test_json_repair_column(spark):
+    from newsloom.functions import jsons
+
+    df = spark.createDataFrame([(1, '{"a": 1}'), (2, '{"a": [1,'), (3, None), (4, "")], "k int, t string")
+    assert {r.k: r.f for r in df.select("k", jsons.repair(F.col("t")).alias("f")).collect()} == {1: '{"a": 1}', 2: '{"a": [1]}', 3: None, 4: None}
