@@ -3,22 +3,31 @@
 from __future__ import annotations
 
 import base64
+import importlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.plans.durable import durable
 
-#: Ranks of a byte-level BPE; another file of the same format may be named instead.
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: The setting of the session that names a file of byte-level BPE ranks, the same on all executors. Without it the file of this
+#: name is taken from the installed package of public tokenizers.
+SETTING, FILE = "spark.newsloom.vocabulary", "byte_bpe_50k.tiktoken"
 # Fixed value: how texts are cut before merging, as published with this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def vocabulary_of(spark: SparkSession | None = None) -> str:
+    """The path of the vocabulary: the session's setting, else the installed package's file."""
+    if spark is not None and (named := spark.conf.get(SETTING, None)):
+        return named
+    return importlib.import_module("public_tokenizers").path(FILE)
+
+
 @lru_cache(maxsize=4)
 def encoding(vocabulary: str) -> tiktoken.Encoding:
     with open(vocabulary, "rb") as f:
@@ -26,15 +35,16 @@ def encoding(vocabulary: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def count(text: str, vocabulary: str = VOCABULARY) -> int:
-    return len(encoding(vocabulary).encode_ordinary(text))
+def count(text: str, vocabulary: str | None = None) -> int:
+    return len(encoding(vocabulary or vocabulary_of()).encode_ordinary(text))
 
 
-def sized(docs: DataFrame, key: str, text: str, also: tuple[str, ...] = (), vocabulary: str = VOCABULARY) -> DataFrame:
+def sized(docs: DataFrame, key: str, text: str, also: tuple[str, ...] = (), vocabulary: str | None = None) -> DataFrame:
     """(key, also..., tokens) of the documents with a text, written once; whole texts are counted, empty ones dropped."""
+    file = vocabulary or vocabulary_of(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoding(vocabulary).encode_ordinary
+        encode = encoding(file).encode_ordinary
         for b in batches:
             sizes = [len(encode(t)) for t in b.pop("_nl_text")]
             yield b.assign(tokens=sizes)
