@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import pandas as pd
 import tiktoken
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.plans.durable import durable
@@ -21,10 +21,8 @@ SETTING, FILE = "spark.newsloom.vocabulary", "byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def vocabulary_of(spark: SparkSession | None = None) -> str:
-    """The path of the vocabulary: the session's setting, else the installed package's file."""
-    if spark is not None and (named := spark.conf.get(SETTING, None)):
-        return named
+def vocabulary_of() -> str:
+    """The path of the installed package's file."""
     return importlib.import_module("public_tokenizers").path(FILE)
 
 
@@ -41,10 +39,10 @@ def count(text: str, vocabulary: str | None = None) -> int:
 
 def sized(docs: DataFrame, key: str, text: str, also: tuple[str, ...] = (), vocabulary: str | None = None) -> DataFrame:
     """(key, also..., tokens) of the documents with a text, written once; whole texts are counted, empty ones dropped."""
-    file = vocabulary or vocabulary_of(docs.sparkSession)
+    file = vocabulary or docs.sparkSession.conf.get(SETTING, None)  # else each executor takes it from its own package
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoding(file).encode_ordinary
+        encode = encoding(file or vocabulary_of()).encode_ordinary
         for b in batches:
             sizes = [len(encode(t)) for t in b.pop("_nl_text")]
             yield b.assign(tokens=sizes)
