@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom.functions import jsons, search, text, urls
-from newsloom.operators import deliveries, routing, selection, stories
+from newsloom.operators import deliveries, issues, routing, selection, stories
 from newsloom.plans import fixtures as X
 from newsloom.plans import reference_corpus as corpus
 from newsloom.plans import reference_mail as mail
@@ -403,6 +403,20 @@ def labelled_segments(spark, at):
     return n.select("segment", "messages", F.try_element_at(known, F.col("segment")).alias("label"))
 
 
+_ARTIFACT = r"""(SELECT segment, source, issue_date, string_agg(head, chr(10) ORDER BY doc_id) AS heads, string_agg('- ' || doc_id || ' < ' || source, chr(10) ORDER BY doc_id) AS trace, string_agg(CASE WHEN head = '' THEN '- ' || doc_id || ': no headline' END, chr(10) ORDER BY doc_id) AS wrong
+    FROM (SELECT doc_id, segment, source, issue_date, coalesce(regexp_extract(text, '^\\s*([^\\n]*)', 1), '') AS head FROM documents WHERE segment IS NOT NULL AND source IS NOT NULL AND issue_date IS NOT NULL) GROUP BY ALL)""".replace("\\\\", "\\")
+
+
+@query(f"""SELECT segment, source, issue_date, unnest(['txt', 'validation.md', 'trace.md']) AS kind, sha256(unnest([segment || ' ' || source || ' ' || issue_date || chr(10) || heads, coalesce(wrong, 'no errors'), trace])) AS content_hash FROM {_ARTIFACT}""")
+def issue_artifacts(spark, at):
+    """What is written for each issue, as hashes; the JSON is `issue_json`, the HTML has no SQL (see the tests)."""
+    d = table(spark, at, "documents").filter("segment IS NOT NULL AND source IS NOT NULL AND issue_date IS NOT NULL")
+    d = d.select("doc_id", "segment", "source", "issue_date", F.coalesce(F.regexp_extract("text", r"^\s*([^\n]*)", 1), F.lit("")).alias("headline"))
+    errors = d.filter("headline = ''").select("doc_id", F.lit("no headline").alias("error"))
+    made = issues.artifacts(d, ("segment", "source", "issue_date"), "doc_id", "headline", "source", errors)
+    return made.filter(F.col("kind").isin("txt", "validation.md", "trace.md")).select("segment", "source", "issue_date", "kind", text.content_hash(F.col("content")).alias("content_hash"))
+
+
 # ---- seams
 
 

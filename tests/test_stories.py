@@ -197,3 +197,13 @@ def test_json_repair_column(spark):
 
     df = spark.createDataFrame([(1, '{"a": 1}'), (2, '{"a": [1,'), (3, None), (4, "")], "k int, t string")
     assert {r.k: r.f for r in df.select("k", jsons.repair(F.col("t")).alias("f")).collect()} == {1: '{"a": 1}', 2: '{"a": [1]}', 3: None, 4: None}
+
+
+def test_artifacts(spark):
+    from newsloom.operators import issues
+
+    df = spark.createDataFrame([("A", 2, "Two & more", None), ("A", 1, "One", "x"), ("B", 3, None, "y")], "edition string, k int, h string, s string")
+    got = {(r.edition, r.kind): r.content for r in issues.artifacts(df, ("edition",), "k", "h", "s", spark.createDataFrame([(3, "no headline")], "k int, error string")).collect()}
+    assert len(got) == 10 and got["A", "txt"] == "A\nOne\nTwo & more" and got["A", "html"] == "<h1>A</h1>\n<ul>\n<li>One</li>\n<li>Two &amp; more</li>\n</ul>"
+    assert got["A", "validation.md"] == "no errors" and got["B", "validation.md"] == "- 3: no headline" and got["A", "trace.md"] == "- 1 < x\n- 2 < ?"
+    assert json.loads(got["A", "json"])["stories"][0] == {"k": 1, "headline": "One", "source": "x"} and issues.artifacts(df.limit(0), ("edition",), "k", "h", "s").count() == 0
