@@ -70,7 +70,7 @@ def keep_one(stored: DataFrame, new: DataFrame | None = None, key: str = "msg_id
 def surplus(df: DataFrame, key: str = "msg_id", order: str = "delivery_id") -> DataFrame:
     """Every row but the kept one of each repeated identifier, as (key, order)."""
     repeated, total = _repeated(df, key, order)
-    rows = join_counted(_keyed(df, key, order).select(KEY, ORDER), repeated, KEY, COUNT, total)
+    rows = durable(join_counted(_keyed(df, key, order).select(KEY, ORDER), repeated, KEY, COUNT, total).select(KEY, ORDER, FIRST))  # used twice
     later = rows.filter(F.col(FIRST).isNotNull() & (F.col(ORDER).isNull() | (F.col(ORDER) > F.col(FIRST)))).select(KEY, ORDER)
     # all but one of the rows that tie as first (a group without any `order` ties as a whole)
     ties = rows.filter(F.col(ORDER).eqNullSafe(F.col(FIRST))).groupBy(KEY, ORDER).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
