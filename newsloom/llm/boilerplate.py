@@ -21,6 +21,8 @@ letter are never cases; a line counts once per document; documents without a sou
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,7 +115,9 @@ def found_lines(docs: DataFrame, key: str, source: str, text: str, **more: objec
 
 
 def without_lines(docs: DataFrame, key: str, source: str, text: str, clean: str = "clean", **more: object) -> DataFrame:
-    """docs with the text without its repeated lines; key must be unique. Texts without such lines are not touched."""
-    found = found_lines(docs, key, source, text, **more).groupBy(key).agg(F.collect_set("line_no").alias("_nl_drop"))
-    kept = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("_nl_drop", i)), "\n")
-    return docs.join(found, key, "left").withColumn(clean, F.when(F.col("_nl_drop").isNull(), F.col(text)).otherwise(kept)).drop("_nl_drop")
+    """docs with the text without its repeated lines as `clean`, in place of a column of that name; key must be unique. Texts without
+    such lines are not touched."""
+    drop = next(n for i in count() if (n := f"_nl_drop{i}") not in docs.columns)
+    found = found_lines(docs, key, source, text, **more).groupBy(key).agg(F.collect_set("line_no").alias(drop))
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(drop, i)), "\n")
+    return docs.join(found, key, "left").withColumn(clean, F.when(F.col(drop).isNull(), F.col(text)).otherwise(kept)).drop(drop)

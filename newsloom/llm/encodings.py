@@ -236,7 +236,7 @@ def garbled_rows(df: DataFrame, field: str) -> DataFrame:
 
 
 def with_restored(df: DataFrame, field: str, fixed: str = "fixed", state: str = "state") -> DataFrame:
-    """df with the restored text and its state (clean, restored, lossy); null stays null."""
+    """df with the restored text and its state (clean, restored, lossy); null stays null. Columns of these two names are replaced."""
     c: Column = F.col(f"`{field}`")
     done = F.when(c.rlike(SUSPECT), F.pandas_udf(_restored, RESTORED)(c))
     return df.withColumn("_nl_r", done).withColumn(fixed, F.coalesce("_nl_r.fixed", c)).withColumn(state, F.coalesce("_nl_r.state", F.lit("clean"))).drop("_nl_r")

@@ -214,4 +214,4 @@ def _pack(items: DataFrame, kinds: list[tuple], kind_type: str, key: str, tokens
 def fill(packed: DataFrame, containers: DataFrame, kind: str = "container_kind", capacity: str = "capacity_tokens") -> DataFrame:
     """Per kind: containers, tokens and the share of unused space."""
     sums = packed.groupBy(kind).agg(F.countDistinct("container_id").alias("containers"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("pieces"))
-    return sums.join(F.broadcast(containers), kind).select(kind, "containers", "pieces", "tokens", F.round(1 - F.col("tokens") / (F.col("containers") * F.col(capacity)), 6).alias("unused_share"))
+    return sums.join(F.broadcast(containers.select(kind, capacity)), kind).select(kind, "containers", "pieces", "tokens", F.round(1 - F.col("tokens") / (F.col("containers") * F.col(capacity)), 6).alias("unused_share"))

@@ -14,7 +14,7 @@ Placeholder rules read a line anywhere but inside code quotes. Lines that write
 sentence or in quotes, and match neither.
 
 Only hashes are shuffled, never texts: of each recurring message one place is looked up again. Defined results: null and empty
-fields are no case; a field is listed once however many of its lines are residue; texts and placeholders are scanned whole,
+fields and fields without a key are no case; a field is listed once however many of its lines are residue; texts and placeholders are scanned whole,
 whatever their length; messages of unknown source count as no source; an empty table gives none.
 """
 
@@ -29,6 +29,8 @@ from newsloom.plans.durable import durable, join_counted
 
 #: A message recurs widely if it stands in so many distinct sources.
 WIDELY = 3
+#: Stands for a null name.
+NO_NAME = "\u0000"
 #: Tables are broadcast up to so many rows.
 BROADCAST_ROWS = 200_000
 
@@ -111,7 +113,7 @@ WIDE_FILLER = (
     rf"^\W*(?:\w+ ){{0,2}}{SLOT} (?:goes|comes|kommt|steht|va|to go) (?:here|hier|ici|aquí)\b", rf"^\W*(?:placeholder|dummy|sample|filler|platzhalter|default)\W+(?:\w+ ){{0,2}}{SLOT}\W*$", rf"^\W*(?:\w+ ){{0,2}}{SLOT}\W+(?:placeholder|to come|tbd|tba|tk|9 (?:characters|chars|words) max)\W*$",
 )
 
-MASKS = ((r"https?://\S+|www\.\S+", "⟨url⟩"), (r"[\w.+-]+@[\w-]+\.[\w.-]+", "⟨mail⟩"), (r"\d{4}-\d{2}-\d{2}", "⟨date⟩"), (r"\d+(?:[.,]\d+)*", "9"))
+MASKS = ((r"https?://\S+|www\.\S+", "⟨url⟩"), (r"[\w.+-]+@[\w-]+\.[\w.-]+", "⟨mail⟩"), (r"\d{4}-\d{2}-\d{2}", "⟨date⟩"), (r"\d+(?:[.,]\d+)*+", "9"))
 CODE_QUOTED = r"`[^`\n]*`"
 
 _PLACE = "(?i)" + "|".join(PLACEHOLDERS)
@@ -212,6 +214,8 @@ def residue(fields: DataFrame, sources: DataFrame, key: str = "msg_id", name: st
     sources has one source of each key. recurring tells that a message which stands in many sources is among the reasons,
     by_rule that a narrow rule is.
     """
+    # other columns may have our names; a null name is a name of its own
+    fields, sources = fields.filter(F.col(key).isNotNull()).select(key, F.coalesce(name, F.lit(NO_NAME)).alias(name), text), sources.select(key, source)
     lines = durable(lines_of(fields, key, name, text))
     wide, rows = wide_messages(lines, fields, sources, key, name, text, source)
     small = _small(wide)
@@ -219,4 +223,4 @@ def residue(fields: DataFrame, sources: DataFrame, key: str = "msg_id", name: st
     recurring = (known.join(small, "message") if small is not None else join_counted(known, wide, "message", "n", rows)).select(key, name, "kind", F.lit(True).alias("recurring"))
     own = lines.filter("own IS NOT NULL").select(key, name, F.col("own").alias("kind"), F.lit(False).alias("recurring"))
     both = recurring.unionByName(own)
-    return both.groupBy(key, name).agg(F.array_sort(F.collect_set("kind")).alias("kinds"), F.bool_or("recurring").alias("recurring"), F.bool_or(~F.col("recurring")).alias("by_rule"))
+    return both.groupBy(key, F.nullif(name, F.lit(NO_NAME)).alias(name)).agg(F.array_sort(F.collect_set("kind")).alias("kinds"), F.bool_or("recurring").alias("recurring"), F.bool_or(~F.col("recurring")).alias("by_rule"))
