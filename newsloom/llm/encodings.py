@@ -97,13 +97,23 @@ def automaton() -> tuple[ahocorasick.Automaton, list[tuple[int, list[tuple[str,
     return auto, values
 
 
-@lru_cache(maxsize=200_000)
+#: The matches of shorter runs are kept, as the same words recur; longer runs hardly do.
+KEPT_CHARS = 64
+
+
 def _matches(run: str) -> tuple[tuple[int, int, int], ...]:
     """(start, end, value) of the longest matches in a run, from the left, without overlap."""
+    return _kept_matches(run) if len(run) <= KEPT_CHARS else _find_matches(run)
+
+
+def _find_matches(run: str) -> tuple[tuple[int, int, int], ...]:
     auto, values = automaton()
     return tuple((end + 1 - values[v][0], end + 1, v) for end, v in auto.iter_long(run))
 
 
+_kept_matches = lru_cache(maxsize=200_000)(_find_matches)
+
+
 def spans(text: str) -> list[tuple[int, int, int]]:
     """The garbled spans of a text: (start, end, value in the automaton)."""
     found: list[tuple[int, int, int]] = []

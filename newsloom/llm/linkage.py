@@ -67,10 +67,13 @@ _BASE, _PRIME = 1_000_003, 2**61 - 1
 LETTERS = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "æ": "ae", "œ": "oe", "ß": "ss", "ı": "i"})
 
 
-@lru_cache(maxsize=100_000)
 def fold(text: str) -> str:
-    if text.isascii():
-        return text.lower()
+    """Lower case without marks on letters."""
+    return text.lower() if text.isascii() else _fold(text) if len(text) <= 200 else _fold.__wrapped__(text)
+
+
+@lru_cache(maxsize=100_000)
+def _fold(text: str) -> str:
     plain = unicodedata.normalize("NFKD", text.lower().translate(LETTERS))
     return "".join(c for c in plain if not unicodedata.combining(c))
 
