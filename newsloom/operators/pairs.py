@@ -14,6 +14,8 @@ from newsloom.plans.durable import durable, join_counted
 
 #: Bytes of the query vectors that go over the rows at once; queries of one matrix product.
 QUERY_BYTES, QUERY_BLOCK = 64 << 20, 4096
+#: Tables are broadcast up to so many rows.
+BROADCAST_ROWS = 200_000
 
 
 def classes(items: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -66,7 +68,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     mark = _signature(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        now = durable(_to_smallest(durable(_to_smallest(both, larger_only=True)), larger_only=False))
+        small = 2 * mark[0] <= BROADCAST_ROWS  # of the edges; neither step makes more of them
+        larger = _to_smallest(both, True, small)
+        now = durable(_to_smallest(larger if small else durable(larger), False, small))
         before, mark = mark, _signature(now)
         if mark == before:
             break
@@ -78,13 +82,16 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.hash("u", "v").cast("long"))).first())
 
 
-def _to_smallest(edges: DataFrame, larger_only: bool) -> DataFrame:
+def _to_smallest(edges: DataFrame, larger_only: bool, small: bool) -> DataFrame:
     """Each neighbour v of u (and u itself) linked to the smallest of u and its neighbours; of all neighbours or the smaller."""
     if not larger_only:
         edges = edges.filter("v < u")
-    low = durable(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n")))
-    total = low.agg(F.sum("n")).first()[0] or 0
-    joined = join_counted(edges, low, "u", "n", total)
+    low = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+    if small:
+        joined = edges.join(F.broadcast(low), "u")
+    else:
+        low = durable(low)
+        joined = join_counted(edges, low, "u", "n", low.agg(F.sum("n")).first()[0] or 0)
     out = joined.filter("v > u") if larger_only else joined.filter("v <> m").unionByName(joined.select("u", F.col("u").alias("v"), "m", "n"))
     return out.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 

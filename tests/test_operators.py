@@ -38,7 +38,7 @@ def test_jaccard_pairs_lose_nothing(spark):
         assert {(x.a, x.b) for x in pairs.jaccard_pairs(classes, t).collect()} == want
 
 
-def test_components(spark):
+def test_components(spark, monkeypatch):
     r = random.Random(3)
     edges = [(r.randrange(60), r.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)] + [(200, 200)] + [(300, i) for i in range(301, 340)]
     parent = {}
@@ -53,6 +53,8 @@ def test_components(spark):
             parent[max(root(a), root(b))] = min(root(a), root(b))
     got = {x.node: x.component for x in pairs.components(spark.createDataFrame(edges, "a int, b int")).collect()}
     assert got == {x: root(x) for x in {y for e in edges if e[0] != e[1] for y in e}}
+    monkeypatch.setattr(pairs, "BROADCAST_ROWS", 0)  # the way of large graphs
+    assert got == {x.node: x.component for x in pairs.components(spark.createDataFrame(edges, "a int, b int")).collect()}
     assert pairs.components(spark.createDataFrame([], "a int, b int")).count() == 0
 
 
